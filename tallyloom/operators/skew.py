@@ -1,0 +1,78 @@
+"""Finding the few column values that hold too many rows for one task."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# A value is hot when it holds more than this fraction of all rows, so there can never
+# be more hot values than its inverse: that bounds what is collected and broadcast.
+MAX_HOT_VALUES = 10_000
+# More buckets than hot values, few enough for every task to pre-aggregate in memory.
+BUCKETS = 65_536
+
+
+@dataclass(frozen=True)
+class HotValues:
+    """At most ``MAX_HOT_VALUES`` values of one column, each above ``row_limit`` rows."""
+
+    column: str
+    values: tuple = ()
+    row_limit: int = 0
+    rows: int = 0
+
+    def __bool__(self) -> bool:
+        return bool(self.values)
+
+    def matches(self) -> Column:
+        """True for a row that holds a hot value, false for every other one."""
+        column = F.col(self.column)
+        present = [value for value in self.values if value is not None]
+        hot = F.coalesce(column.isin(present), F.lit(False)) if present else F.lit(False)
+        return hot | column.isNull() if None in self.values else hot
+
+    def parts(self) -> int:
+        """Tasks among which the hot rows are spread, about half the limit each."""
+        return max(2, -(-2 * self.rows // max(self.row_limit, 1)))
+
+
+def find_hot_values(rows: DataFrame, column: str, floor: int) -> HotValues:
+    """Exact list of the values of ``column`` with too many rows for one task.
+
+    Nothing is hot in an input of ``floor`` rows or fewer, and that costs one count. Else
+    a first aggregate counts hash buckets, whose partial results are bounded whatever the
+    number of distinct values; only the rows of crowded buckets are counted by value.
+    """
+    total = rows.count()
+    limit = max(floor, total // MAX_HOT_VALUES)
+    if total <= limit:
+        return HotValues(column)
+    bucket = F.pmod(F.xxhash64(column), F.lit(BUCKETS))
+    crowded = [
+        row.bucket
+        for row in rows.groupBy(bucket.alias("bucket")).count().filter(F.col("count") > limit).collect()
+    ]
+    if not crowded:
+        return HotValues(column)
+    hot = rows.filter(bucket.isin(crowded)).groupBy(column).count().filter(F.col("count") > limit).collect()
+    return HotValues(
+        column,
+        tuple(row[column] for row in hot),
+        limit,
+        sum(row["count"] for row in hot),
+    )
+
+
+def by_heat(
+    rows: DataFrame,
+    hot: HotValues,
+    ordinary: Callable[[DataFrame], DataFrame],
+    spread: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Run ``spread`` on the rows with a hot value and ``ordinary`` on all others."""
+    if not hot:
+        return ordinary(rows)
+    return ordinary(rows.filter(~hot.matches())).unionByName(spread(rows.filter(hot.matches())))
