@@ -30,8 +30,9 @@ STAMPS = ("_ingested_at", "_quarantined_at")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _labelled(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.label(raw_transactions(spark, folder), raw_accounts(spark, folder), SETTINGS)
+def _labelled(spark: SparkSession, folder: str, accounts: DataFrame | None = None) -> DataFrame:
+    accounts = accounts or raw_accounts(spark, folder)
+    return silver.label(raw_transactions(spark, folder), accounts, SETTINGS)
 
 
 def _clean(spark: SparkSession, folder: str) -> DataFrame:
@@ -39,7 +40,8 @@ def _clean(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _star(spark: SparkSession, folder: str) -> star.Star:
-    return star.star(spark, _clean(spark, folder), raw_accounts(spark, folder), SETTINGS)
+    accounts = raw_accounts(spark, folder)
+    return star.star(spark, rules.clean(_labelled(spark, folder, accounts)), accounts, SETTINGS)
 
 
 def _scratch(spark: SparkSession, purpose: str) -> str:

@@ -1,17 +1,30 @@
-"""Parsing of date text that arrives in four layouts, without a Python UDF."""
+"""Parsing of date text that arrives in four layouts, without a Python UDF.
+
+One pattern rewrites any accepted layout to year-month-day, so the expression mentions
+its input once. Filters that Spark copies towards the scan then stay small.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The digit outline of each accepted layout.
-ISO_OUTLINE = "0000-00-00"  # year-month-day
-SLASH_OUTLINE = "00/00/0000"  # month/day/year
-DASH_OUTLINE = "00-00-0000"  # month-day-year, or day-month-year if the first part exceeds 12
+BLANKS = r"[\s\x1c-\x1f\x85\p{Z}]*"
+YEAR = r"(?!0000)\d{4}"  # Spark would parse year 0 although no calendar has it
+
+# The accepted layouts. A dash date is day first only if its first part
+# cannot be a month; the last alternative takes any other text and fills no group.
+LAYOUTS = (
+    "(?s)^(?:" + BLANKS + "(?:"
+    rf"({YEAR})-(\d{{2}})-(\d{{2}})"  # year-month-day
+    rf"|(1[3-9]|[2-9]\d)-(\d{{2}})-({YEAR})"  # day-month-year
+    rf"|(\d{{2}})([-/])(\d{{2}})\8({YEAR})"  # month-day-year, month/day/year
+    ")" + BLANKS + "|.*)$"
+)
+YEAR_MONTH_DAY = "$1$6$10-$2$5$7-$3$4$9"
 
-# Every blank character of the basic plane, tabs, line ends and no-break spaces included.
-BLANKS = "".join(filter(str.isspace, map(chr, range(0x10000))))
+# Two parts that are both possible months, so the order of day and month is a guess.
+EITHER_ORDER = rf"^{BLANKS}(0[1-9]|1[0-2])-(0[1-9]|1[0-2])-{YEAR}{BLANKS}$"
 
 
 def parse_mixed_date(text: Column) -> Column:
@@ -21,22 +34,7 @@ def parse_mixed_date(text: Column) -> Column:
     marked ambiguous. Blank text, any other layout and days the calendar does not
     have give a NULL date that is not ambiguous.
     """
-    value = F.btrim(text, F.lit(BLANKS))
-    # Mapping every digit to 0 turns the layout test into a string comparison.
-    outline = F.translate(value, "123456789", "000000000")
-    first, second = F.substring(value, 1, 2), F.substring(value, 4, 2)
-    year = F.substring(value, 7, 4)
-    day_first = first > "12"
-
-    iso_text = (
-        F.when(outline == ISO_OUTLINE, value)
-        .when((outline == DASH_OUTLINE) & day_first, F.concat_ws("-", year, second, first))
-        .when(outline.isin(DASH_OUTLINE, SLASH_OUTLINE), F.concat_ws("-", year, first, second))
-    )
-    # Year 0 parses in Spark although no calendar has it.
-    parsed = F.when(F.substring(iso_text, 1, 4) != "0000", iso_text.try_cast("date"))
-    ambiguous = (outline == DASH_OUTLINE) & ~day_first & (second <= "12") & parsed.isNotNull()
     return F.struct(
-        parsed.alias("date"),
-        F.coalesce(ambiguous, F.lit(False)).alias("ambiguous"),
+        F.regexp_replace(text, LAYOUTS, YEAR_MONTH_DAY).try_cast("date").alias("date"),
+        F.coalesce(text.rlike(EITHER_ORDER), F.lit(False)).alias("ambiguous"),
     )

@@ -17,5 +17,5 @@ def category_key(name: Column) -> Column:
 
 
 def date_key(day: Column) -> Column:
-    """Calendar day as yyyyMMdd text."""
-    return F.date_format(day, "yyyyMMdd")
+    """Calendar day as yyyyMMdd text; dropping the dashes is far cheaper than a formatter."""
+    return F.translate(day.cast("string"), "-", "")

@@ -34,15 +34,14 @@ BUDGETED = [
 ODD_STATUSES = ("DONE", "complete", "Compleeted", "nil", "NULL", "unknown", "3", "yes")
 
 
-def _messy_day(day: Column, layout: Column) -> Column:
-    """Day as text in one of four layouts."""
-    iso = day.cast("string")
-    year, month, dom = F.substring(iso, 1, 4), F.substring(iso, 6, 2), F.substring(iso, 9, 2)
-    return (
-        F.when(layout == 0, iso)
-        .when(layout == 1, F.concat_ws("/", month, dom, year))
-        .when(layout == 2, F.concat_ws("-", dom, month, year))
-        .otherwise(F.concat_ws("-", month, dom, year))
+def _messy_day(iso: Column, layout: Column) -> Column:
+    """ISO text of a day in one of four layouts."""
+    day_first = layout == 2
+    first = F.substring(iso, F.when(day_first, 9).otherwise(6), F.lit(2))
+    second = F.substring(iso, F.when(day_first, 6).otherwise(9), F.lit(2))
+    separator = F.when(layout == 1, "/").otherwise("-")
+    return F.when(layout == 0, iso).otherwise(
+        F.concat(first, separator, second, separator, F.substring(iso, 1, 4))
     )
 
 
@@ -52,7 +51,7 @@ def transactions_file(spark: SparkSession, folder: str) -> DataFrame:
     orders = spark.read.parquet(f"{folder}/orders.parquet").select(
         F.col("o_orderkey").alias("k"),
         F.col("o_custkey").alias("c"),
-        F.col("o_orderdate").cast("date").alias("d"),
+        F.col("o_orderdate").cast("date").cast("string").alias("d"),
         F.col("o_totalprice").alias("p"),
         F.col("o_orderpriority").alias("priority"),
         F.when(F.col("o_orderstatus") == "P", "pending")
@@ -103,7 +102,7 @@ def accounts_file(spark: SparkSession, folder: str) -> DataFrame:
     customers = spark.read.parquet(f"{folder}/customer.parquet").join(
         F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey")
     )
-    opened = F.date_add(F.lit(date(2020, 1, 1)), (k % 1000).cast("int"))
+    opened = F.date_add(F.lit(date(2020, 1, 1)), (k % 1000).cast("int")).cast("string")
     return customers.select(
         k.alias("account_id"),
         F.when(k % 4 == 1, F.concat(F.lit("  "), F.col("c_name"))).otherwise(F.col("c_name")).alias("customer_name"),
