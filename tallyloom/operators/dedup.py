@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -32,14 +33,17 @@ def dedup_rank_spread(rows: DataFrame, keys: Sequence[str], order: Sequence[Colu
 
     A range partitioning on key and order cuts a big group into consecutive parts. Each
     part is numbered on its own and shifted by the rows its key has in earlier parts.
-    The placement is checkpointed, since both steps must see the same cuts.
+    The placement is written to the shared folder, since both steps must see the same
+    cuts, also after the loss of an executor; the second step reads the keys only.
     """
-    shared_folder(rows.sparkSession)
-    placed = (
+    spark = rows.sparkSession
+    placement = f"{shared_folder(spark)}/ranked-{uuid.uuid4().hex}"
+    (
         rows.repartitionByRange(parts, *[F.col(key) for key in keys], *order)
         .withColumn("_part", F.spark_partition_id())
-        .checkpoint()
+        .write.parquet(placement)
     )
+    placed = spark.read.parquet(placement)
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # Only the first key of a part can have begun before it, so this has at most one
     # row per part, and is safe to broadcast.

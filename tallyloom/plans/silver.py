@@ -59,5 +59,8 @@ def label(raw: DataFrame, accounts: DataFrame, settings: Settings) -> DataFrame:
         checked = mark_survivors(references.flag_orphans_of_hot(rows, accounts, hot))
         return dedup.dedup_rank_spread(checked, keys, order, hot.parts())
 
-    ranked = skew.by_heat(clean_columns(raw, settings), hot, ordinary, spread).drop("_valid")
-    return ranked.withColumn(rules.REASON, rules.first_reason([*tests, rules.duplicate_rule()]))
+    cleaned = clean_columns(raw, settings)
+    reason = rules.first_reason([*tests, rules.duplicate_rule()])
+    return skew.by_heat(cleaned, hot, ordinary, spread).select(
+        *cleaned.columns, dedup.RANK, references.ORPHAN, reason.alias(rules.REASON)
+    )
