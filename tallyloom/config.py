@@ -41,7 +41,8 @@ class Settings:
     # Years shown by the monthly trend.
     trend_years: tuple[int, ...] = (2023, 2024)
 
-    # Two rows that agree on these columns are the same business event.
+    # Two rows that agree on these columns are the same business event. The account has
+    # to be one of them: hot accounts are what the ranking is protected against.
     business_key: tuple[str, ...] = ("account_id", "transaction_date", "amount", "category")
 
     status_spellings: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(STATUS_SPELLINGS))
@@ -54,5 +55,6 @@ class Settings:
     # Keep the date and status text as it arrived in _raw_date and _raw_status.
     keep_raw_values: bool = False
 
-    # An account with fewer rows than this is never treated as hot.
-    hot_account_rows: int = 1_000_000
+    # An account with no more rows than this is never treated as hot: one task sorts
+    # them sooner than the extra shuffles of the other way would take.
+    hot_account_rows: int = 5_000_000

@@ -13,6 +13,7 @@ SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
 }
 
 
