@@ -31,7 +31,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _labelled(spark: SparkSession, folder: str, accounts: DataFrame | None = None) -> DataFrame:
-    accounts = accounts or raw_accounts(spark, folder)
+    if accounts is None:
+        accounts = raw_accounts(spark, folder)
     return silver.label(raw_transactions(spark, folder), accounts, SETTINGS)
 
 
