@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import sys
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,23 +65,34 @@ def bronze_accounts(spark: SparkSession, folder: str) -> DataFrame:
     return _through_csv(spark, standin.accounts_file(spark, folder), "accounts")
 
 
+def _arrivals(spark: SparkSession, folder: str, landing: str) -> Iterator[None]:
+    """Land the transactions in two lots: first sendings, then what was sent again."""
+    rows, resent = standin.transactions_file(spark, folder), F.col("transaction_id") > 1_000_000_000
+    for lot in (rows.filter(~resent), rows.filter(resent)):
+        csv.write_csv(lot, landing, csv.SOURCES["transactions"], mode="append")
+        yield
+
+
 def incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    """Files arrive in two lots; each run of the stream takes only what is new."""
+    """Each run of the stream takes only the files that are new."""
     scratch, source = _scratch(spark, "arrivals"), csv.SOURCES["transactions"]
-    rows = standin.transactions_file(spark, folder)
-    resent = F.col("transaction_id") > 1_000_000_000
-    for lot in (rows.filter(~resent), rows.filter(resent)):
-        (
-            lot.write.mode("append")
-            .options(header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
-            .csv(f"{scratch}/{source.file}")
-        )
-        incremental.append_available(
-            incremental.arriving(spark, scratch, source), f"{scratch}/bronze", f"{scratch}/progress"
-        )
+    for _ in _arrivals(spark, folder, scratch):
+        arriving = incremental.arriving(spark, scratch, source)
+        incremental.append_available(arriving, f"{scratch}/bronze", f"{scratch}/progress")
     return spark.read.parquet(f"{scratch}/bronze").select(*source.schema.names, "_source_file")
 
 
+def incremental_clean(spark: SparkSession, folder: str) -> DataFrame:
+    """Business keys a stream accepts, each once, also if its copy arrives in a later run."""
+    scratch, source = _scratch(spark, "arrivals"), csv.SOURCES["transactions"]
+    accounts = raw_accounts(spark, folder)
+    for _ in _arrivals(spark, folder, scratch):
+        labelled = incremental.label_stream(incremental.arriving(spark, scratch, source), accounts, SETTINGS)
+        accepted = incremental.accepted_once(labelled, SETTINGS, "30 days")
+        incremental.append_available(accepted, f"{scratch}/clean", f"{scratch}/progress")
+    return spark.read.parquet(f"{scratch}/clean").select(*SETTINGS.business_key)
+
+
 def text_standardise(spark: SparkSession, folder: str) -> DataFrame:
     return standardise(raw_transactions(spark, folder)).select(
         "transaction_id", "category", "description", "transaction_type", "status"
@@ -262,6 +273,7 @@ QUERIES: tuple[Query, ...] = (
     bronze_transactions,
     bronze_accounts,
     incremental_ingest,
+    incremental_clean,
     text_standardise,
     mixed_date_parse,
     status_canonicalise,

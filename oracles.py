@@ -176,6 +176,10 @@ versions as (
 SQL: dict[str, str] = {
     "bronze_transactions": over_raw(BRONZE),
     "incremental_ingest": over_raw(BRONZE),
+    "incremental_clean": over_labelled(
+        """select distinct account_id, transaction_date, amount, category from labelled
+        where _rejection_reason is null or _rejection_reason = 'DUPLICATE'"""
+    ),
     "bronze_accounts": f"with {RAW_ACCOUNTS} select *, 'accounts_raw.csv' as _source_file from raw_accounts",
     "text_standardise": over_cleaned(
         "select transaction_id, category, description, transaction_type, raw_status as status from cleaned"

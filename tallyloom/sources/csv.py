@@ -49,11 +49,11 @@ def read_csv(spark: SparkSession, landing: str, source: CsvSource) -> DataFrame:
     return stamp(reader.csv(f"{landing}/{source.file}"), source.file)
 
 
-def write_csv(rows: DataFrame, landing: str, source: CsvSource) -> None:
+def write_csv(rows: DataFrame, landing: str, source: CsvSource, mode: str = "overwrite") -> None:
     """Write rows in the layout ``read_csv`` reads, blanks around text included."""
     (
         rows.select(source.schema.names)
-        .write.mode("overwrite")
+        .write.mode(mode)
         .options(header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
         .csv(f"{landing}/{source.file}")
     )
