@@ -46,9 +46,16 @@ def account_dim(raw_accounts: DataFrame) -> DataFrame:
 
 
 def category_dim(spark: SparkSession, settings: Settings) -> DataFrame:
-    """Business grouping of the categories, which no source system holds."""
+    """Business grouping of the categories, which no source system holds.
+
+    The rows are one literal in the plan, read by one task however big the cluster is.
+    """
     rows = [
-        (name, group, flow) for (group, flow), names in settings.category_groups.items() for name in names
+        F.struct(
+            F.lit(name).alias("category_name"), F.lit(group).alias("category_group"), F.lit(flow).alias("category_type")
+        )
+        for (group, flow), names in settings.category_groups.items()
+        for name in names
     ]
-    named = spark.createDataFrame(rows, "category_name string, category_group string, category_type string")
+    named = spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
     return named.select(category_key(F.col("category_name")).alias("category_key"), *named.columns)

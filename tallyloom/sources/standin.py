@@ -114,14 +114,18 @@ def accounts_file(spark: SparkSession, folder: str) -> DataFrame:
 
 def budget_file(spark: SparkSession, settings: Settings = SETTINGS) -> DataFrame:
     """Raw monthly budget of each spending category in the trend years."""
-    months = [
-        (year, month, name) for year in settings.trend_years for month in range(1, 13) for name in BUDGETED
-    ]
-    rows = [
-        (number, name.upper() if month % 5 == 2 else name, month, year, 1000.0 + 10 * month)
-        for number, (year, month, name) in enumerate(months, 1)
-    ]
-    return spark.createDataFrame(rows, SOURCES["budget"].schema)
+    years, lines = settings.trend_years, len(BUDGETED)
+    number = F.col("id")
+    month = F.floor(number / lines) % 12 + 1
+    name = F.element_at(F.array(*map(F.lit, BUDGETED)), (number % lines + 1).cast("int"))
+    year = F.element_at(F.array(*map(F.lit, years)), (F.floor(number / (12 * lines)) + 1).cast("int"))
+    return spark.range(0, len(years) * 12 * lines, 1, 1).select(
+        (number + 1).alias("budget_id"),
+        F.when(month % 5 == 2, F.upper(name)).otherwise(name).alias("category"),
+        month.cast("int").alias("month"),
+        year.alias("year"),
+        (1000.0 + 10 * month).alias("budget_amount"),
+    )
 
 
 def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
