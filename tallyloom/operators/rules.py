@@ -41,8 +41,15 @@ def duplicate_rule() -> Rule:
 
 
 def first_reason(rules: Sequence[Rule]) -> Column:
-    """Name of the first broken rule. A condition that is NULL is not broken."""
-    return F.coalesce(*[F.when(rule.broken, F.lit(rule.reason)) for rule in rules])
+    """Name of the first broken rule, NULL if none is. A NULL condition is not broken.
+
+    One CASE, so the rules after the first broken one are not evaluated.
+    """
+    first, *others = rules
+    named = F.when(first.broken, first.reason)
+    for rule in others:
+        named = named.when(rule.broken, rule.reason)
+    return named
 
 
 def clean(labelled: DataFrame) -> DataFrame:

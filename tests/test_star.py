@@ -276,3 +276,16 @@ def test_header_that_differs_is_an_error(spark, tmp_path):
     (tmp_path / source.file).write_text("category,budget_id,month,year,budget_amount\nRent,1,1,2023,5\n")
     with pytest.raises(Exception, match="CSV header does not conform"):
         csv.read_csv(spark, str(tmp_path), source).collect()
+
+
+def test_run_into_a_folder_and_again(spark, landing, tmp_path):
+    for table in ("transactions", "accounts", "budget"):
+        spark.sql(f"drop table if exists bronze.{table}")
+    lake = tmp_path / "lake"
+    layers = Layers(spark, location=str(lake))
+    first = medallion.run(layers, landing, SETTINGS)
+    assert medallion.run(layers, landing, SETTINGS) == first
+    parts = sorted(path.name for path in (lake / "silver" / medallion.LABELLED).iterdir() if path.is_dir())
+    assert parts == ["_rejected=false", "_rejected=true"]
+    assert layers.read(CLEANED, "transactions").count() == 1258
+    assert spark.read.parquet(str(lake / "gold" / "fct_transactions")).count() == 1258
