@@ -26,6 +26,14 @@ from tallyloom.sources import csv, standin  # noqa: E402
 from tallyloom.sources.standin import SETTINGS, raw_accounts, raw_budget, raw_transactions  # noqa: E402
 from tallyloom.streaming import incremental  # noqa: E402
 
+try:  # the training-data operators are a separate part that may be absent
+    import corpus_pipeline  # noqa: E402
+    from tallyloom.llm import queries as training_data  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tallyloom.llm"):
+        raise
+    corpus_pipeline = training_data = None
+
 STAMPS = ("_ingested_at", "_quarantined_at")
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -319,9 +327,15 @@ def queries() -> dict[str, Query]:
     def tuned(query: Query) -> Query:
         return lambda spark, folder: query(tune(spark), folder)
 
-    return {query.__name__: tuned(query) for query in QUERIES}
+    registered = {query.__name__: tuned(query) for query in QUERIES}
+    if training_data is None:
+        return registered
+    return registered | training_data.QUERIES | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
     """The same results as SQL over the same tables."""
-    return dict(oracles.SQL)
+    if training_data is None:
+        return dict(oracles.SQL)
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return oracles.SQL | training_data.SQL | pipeline

@@ -7,11 +7,13 @@ from twins import duck_rows, duck_types, spark_rows, spark_types
 
 from conftest import TESTDATA
 
-QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
+OWN = {query.__name__ for query in registry.QUERIES}
+QUERIES = {name: query for name, query in registry.queries().items() if name in OWN}
+ORACLES = registry.oracle_sql()
 
 
 def test_every_query_has_a_twin():
-    assert set(QUERIES) == set(ORACLES)
+    assert OWN <= set(ORACLES)
 
 
 @pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
