@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyloom.llm import simhash
+from tallyloom.llm import bpe, simhash
 from tallyloom.llm.common import table
 
 
@@ -12,5 +14,17 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), words_each=3, distance=3)
 
 
-QUERIES = {query.__name__: query for query in (op10_simhash_near_dedup,)}
+def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    tokens = bpe.decode(spark, bpe.encode(spark, documents, path, pattern), path)
+    return tokens.select(
+        "doc_id",
+        bpe.token_count(F.col("ids")).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+QUERIES = {query.__name__: query for query in (op8_byte_bpe, op10_simhash_near_dedup)}
 SQL: dict[str, str] = {}
