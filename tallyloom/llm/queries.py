@@ -6,14 +6,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, simhash
-from tallyloom.llm.common import table
+from tallyloom.llm import bpe, quality_rules, simhash
+from tallyloom.llm.common import labelled_sample, table
 
 
 def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), words_each=3, distance=3)
 
 
+# Labelled texts each model may learn from at most; what is applied to the documents has no bound.
+MOST_LABELLED = 12_000
+
+
+def op7_decision_lists(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    sample = labelled_sample(table(spark, folder, "labels"), documents, "quality", MOST_LABELLED)
+    return quality_rules.judge(documents, quality_rules.fit(sample))
+
+
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     documents = table(spark, folder, "documents").select("doc_id", "text")
@@ -26,5 +36,5 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {query.__name__: query for query in (op8_byte_bpe, op10_simhash_near_dedup)}
+QUERIES = {query.__name__: query for query in (op7_decision_lists, op8_byte_bpe, op10_simhash_near_dedup)}
 SQL: dict[str, str] = {}
