@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, quality_rules, simhash
+from tallyloom.llm import bpe, quality_rules, simhash, topk
 from tallyloom.llm.common import labelled_sample, table
 
 
@@ -18,6 +18,11 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 MOST_LABELLED = 12_000
 
 
+def op5_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, folder, "embeddings"))
+    return topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
 def op7_decision_lists(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     sample = labelled_sample(table(spark, folder, "labels"), documents, "quality", MOST_LABELLED)
@@ -36,5 +41,19 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {query.__name__: query for query in (op7_decision_lists, op8_byte_bpe, op10_simhash_near_dedup)}
-SQL: dict[str, str] = {}
+QUERIES = {query.__name__: query for query in (op5_exact_top_k, op7_decision_lists, op8_byte_bpe, op10_simhash_near_dedup)}
+SQL: dict[str, str] = {
+    "op5_exact_top_k": """
+        with usable as (
+            select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) v
+            from embeddings
+            where len(embedding) > 0 and vec_id is not null
+              and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+        ), scored as (
+            select q.vec_id query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) score
+            from usable q join usable c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id
+        )
+        select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) rank, vec_id, score
+        from scored qualify rank <= 20
+    """,
+}
