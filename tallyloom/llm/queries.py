@@ -6,14 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, quality_rules, simhash, topk
-from tallyloom.llm.common import labelled_sample, table
+from tallyloom.llm import bpe, quality_rules, simhash, topk, warc
+from tallyloom.llm.common import labelled_sample, scratch, table
 
 
 def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), words_each=3, distance=3)
 
 
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages, archive = table(spark, folder, "pages"), scratch(spark, "warc")
+    shards = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    warc.write(pages, archive, shards, least_bytes=1000)
+    columns = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.read(spark, archive, with_payload=False).select(*columns)
+
+
 # Labelled texts each model may learn from at most; what is applied to the documents has no bound.
 MOST_LABELLED = 12_000
 
@@ -41,8 +49,22 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {query.__name__: query for query in (op5_exact_top_k, op7_decision_lists, op8_byte_bpe, op10_simhash_near_dedup)}
+QUERIES = {query.__name__: query for query in (op5_exact_top_k, op6_warc, op7_decision_lists, op8_byte_bpe, op10_simhash_near_dedup)}
 SQL: dict[str, str] = {
+    "op6_warc": """
+        with pages_once as (
+            select page_id, encode(coalesce(html, '')) payload from pages
+        ), sized as (
+            select page_id, cast(octet_length(payload) as bigint) payload_bytes, sha1(payload) payload_digest from pages_once
+        ), kept as (
+            select *, case when payload_bytes >= 1000
+                then max(page_id) over (partition by payload_digest, payload_bytes) else page_id end keeper from sized
+        )
+        select page_id, payload_bytes, payload_digest,
+            case when keeper = page_id or keeper is null then 'response' else 'revisit' end record_type,
+            case when keeper <> page_id or page_id is null then keeper end refers_to
+        from kept
+    """,
     "op5_exact_top_k": """
         with usable as (
             select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) v
