@@ -6,8 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, quality_rules, simhash, topk, warc
-from tallyloom.llm.common import labelled_sample, scratch, table
+from tallyloom.llm import bpe, quality_rules, simhash, topk, toxicity, warc
+from tallyloom.llm.common import held_out, labelled_sample, scratch, table
+
+# Labelled texts each model may learn from at most; what is applied to the documents has no bound.
+MOST_LABELLED = 12_000
+
+
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    sample = labelled_sample(table(spark, folder, "labels"), documents, "toxic", MOST_LABELLED)
+    scored = toxicity.score(documents, toxicity.fit(sample))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         toxicity.predicted(F.col("score")).alias("predicted"))
 
 
 def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -22,10 +33,6 @@ def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read(spark, archive, with_payload=False).select(*columns)
 
 
-# Labelled texts each model may learn from at most; what is applied to the documents has no bound.
-MOST_LABELLED = 12_000
-
-
 def op5_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = topk.quantised(table(spark, folder, "embeddings"))
     return topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
@@ -49,7 +56,7 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {query.__name__: query for query in (op5_exact_top_k, op6_warc, op7_decision_lists, op8_byte_bpe, op10_simhash_near_dedup)}
+QUERIES = {query.__name__: query for query in (op1_toxicity, op5_exact_top_k, op6_warc, op7_decision_lists, op8_byte_bpe, op10_simhash_near_dedup)}
 SQL: dict[str, str] = {
     "op6_warc": """
         with pages_once as (
