@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, quality_rules, simhash, topk, toxicity, warc
+from tallyloom.llm import bpe, quality_neighbours, quality_rules, simhash, topk, toxicity, warc
 from tallyloom.llm.common import held_out, labelled_sample, scratch, table
 
 # Labelled texts each model may learn from at most; what is applied to the documents has no bound.
 MOST_LABELLED = 12_000
+MOST_NEIGHBOURS = 6_000
 
 
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
@@ -21,6 +22,14 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
                          toxicity.predicted(F.col("score")).alias("predicted"))
 
 
+def op2_quality_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    sample = labelled_sample(table(spark, folder, "labels"), documents, "quality", MOST_NEIGHBOURS)
+    scored = quality_neighbours.score(documents, quality_neighbours.fit(sample))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         quality_neighbours.predicted(F.col("score")).alias("predicted"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), words_each=3, distance=3)
 
@@ -56,7 +65,7 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {query.__name__: query for query in (op1_toxicity, op5_exact_top_k, op6_warc, op7_decision_lists, op8_byte_bpe, op10_simhash_near_dedup)}
+QUERIES = {query.__name__: query for query in (op1_toxicity, op2_quality_neighbours, op5_exact_top_k, op6_warc, op7_decision_lists, op8_byte_bpe, op10_simhash_near_dedup)}
 SQL: dict[str, str] = {
     "op6_warc": """
         with pages_once as (
