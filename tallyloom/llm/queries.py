@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, quality_neighbours, quality_rules, simhash, topk, toxicity, warc
+from tallyloom.llm import bpe, mixing, quality_neighbours, quality_rules, simhash, topk, toxicity, warc
 from tallyloom.llm.common import held_out, labelled_sample, scratch, table
 
 # Labelled texts each model may learn from at most; what is applied to the documents has no bound.
@@ -30,6 +30,26 @@ def op2_quality_neighbours(spark: SparkSession, folder: str) -> DataFrame:
                          quality_neighbours.predicted(F.col("score")).alias("predicted"))
 
 
+# The mixture: whole-number weights by level; names that are not listed weigh 1.
+MIX_WEIGHTS = {"domain": {"web": 2, "books": 1}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 2}}
+MIX_EPOCHS, MIX_SEED = 2, 20240101
+
+
+def mix_domain() -> Column:
+    """Sources whose name ends in 0 to 4 count as web, all others as books."""
+    return F.when(F.substring("source", -1, 1).isin("0", "1", "2", "3", "4"), F.lit("web")).otherwise(F.lit("books"))
+
+
+def mix_budget() -> Column:
+    """Three quarters of the tokens there are."""
+    return F.expr("(tokens * 3) div 4")
+
+
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return mixing.drawn_counts(documents, mix_domain(), MIX_WEIGHTS, mix_budget(), MIX_EPOCHS, MIX_SEED)
+
+
 def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), words_each=3, distance=3)
 
@@ -65,8 +85,69 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {query.__name__: query for query in (op1_toxicity, op2_quality_neighbours, op5_exact_top_k, op6_warc, op7_decision_lists, op8_byte_bpe, op10_simhash_near_dedup)}
+QUERIES = {query.__name__: query for query in (op1_toxicity, op2_quality_neighbours, op5_exact_top_k, op6_warc, op7_decision_lists, op8_byte_bpe, op9_mixing, op10_simhash_near_dedup)}
+
+
+def _pour_sql(name: str, parent: list[str], own: list[str], weight: str) -> str:
+    """One level of the tree: divide what ``name``'s parents have among the nodes of the level."""
+    by = f"partition by {', '.join(parent)}" if parent else ""
+    join = f"join {name}_above using ({', '.join(parent)})" if parent else f"cross join {name}_above"
+    return f"""
+        {name}_nodes as (
+            select {', '.join(own)}, sum(tokens) tokens, sum(tokens) * {MIX_EPOCHS} cap, {weight} weight from leaves group by {', '.join(own)}
+        ), {name}_sorted as (
+            select n.*, budget, case when cap > 0 then cast(cap as double) / weight else 0 end ratio, case when cap > 0 then weight else 0 end w
+            from {name}_nodes n {join}
+        ), {name}_run as (
+            select *, budget - coalesce(sum(cap) over ({by} order by ratio, {own[-1]} rows between unbounded preceding and 1 preceding), 0) left_over,
+                sum(w) over ({by} order by ratio, {own[-1]} rows between current row and unbounded following) rest
+            from {name}_sorted
+        ), {name}_full as (select *, cap * rest <= w * left_over full_up from {name}_run
+        ), {name}_open as (
+            select *, budget - coalesce(sum(case when full_up then cap end) over ({by}), 0) over_all,
+                sum(case when not full_up then w end) over ({by}) open_w
+            from {name}_full
+        ), {name} as (
+            select {', '.join(own)}, tokens, case when full_up then cap else (over_all * w) // open_w end budget from {name}_open
+        )"""
+
+
+def _weight_sql(level: str) -> str:
+    given = MIX_WEIGHTS.get(level, {})
+    cases = " ".join(f"when '{value}' then {weight}" for value, weight in given.items())
+    return f"case {level} {cases} else 1 end" if given else "1"
+
+
 SQL: dict[str, str] = {
+    "op9_mixing": f"""
+        with placed as (
+            select doc_id, case when right(source, 1) in ('0', '1', '2', '3', '4') then 'web' else 'books' end as "domain",
+                coalesce(lang, 'unknown') lang, coalesce(source, 'unknown') source,
+                cast(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as hugeint) tokens
+            from documents
+        ), leaves as (select "domain", lang, source, sum(tokens) tokens from placed group by all
+        ), a_above as (select least(sum(tokens) * 3 // 4, sum(tokens) * {MIX_EPOCHS}) budget from leaves),
+        {_pour_sql("a", [], ['"domain"'], _weight_sql("domain"))},
+        b_above as (select "domain", budget from a),
+        {_pour_sql("b", ['"domain"'], ['"domain"', "lang"], _weight_sql("lang"))},
+        c_above as (select "domain", lang, budget from b),
+        {_pour_sql("c", ['"domain"', "lang"], ['"domain"', "lang", "source"], "1")},
+        planned as (
+            select "domain", lang, source, budget, case when tokens > 0 then budget // tokens else 0 end epochs,
+                case when tokens > 0 then budget % tokens else 0 end rest
+            from c
+        ), keyed as (
+            select p.*, budget, epochs, rest,
+                md5('{MIX_SEED}:' || cast(epochs as varchar) || ':' || coalesce(cast(doc_id as varchar), 'null')) as draw
+            from placed p join planned using ("domain", lang, source)
+        ), summed as (
+            select *, sum(tokens) over (partition by "domain", lang, source order by draw range between unbounded preceding and current row) upto
+            from keyed
+        )
+        select doc_id, "domain", lang, source, cast(tokens as bigint) tokens, cast(budget as bigint) leaf_budget,
+            cast(epochs + case when rest > 0 and upto <= rest then 1 else 0 end as integer) copies
+        from summed
+    """,
     "op6_warc": """
         with pages_once as (
             select page_id, encode(coalesce(html, '')) payload from pages
