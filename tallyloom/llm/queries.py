@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, mixing, quality_neighbours, quality_rules, simhash, topk, toxicity, warc
+from tallyloom.llm import bpe, mixing, pii, quality_neighbours, quality_rules, simhash, topk, toxicity, warc
 from tallyloom.llm.common import held_out, labelled_sample, scratch, table
 
 # Labelled texts each model may learn from at most; what is applied to the documents has no bound.
@@ -62,6 +62,14 @@ def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read(spark, archive, with_payload=False).select(*columns)
 
 
+PII_KEY = "key of the test tables"  # a real run takes its key from a secret store
+
+
+def op3_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return pii.surrogates(documents, PII_KEY, counts="n_entities")
+
+
 def op5_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = topk.quantised(table(spark, folder, "embeddings"))
     return topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
@@ -85,7 +93,7 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {query.__name__: query for query in (op1_toxicity, op2_quality_neighbours, op5_exact_top_k, op6_warc, op7_decision_lists, op8_byte_bpe, op9_mixing, op10_simhash_near_dedup)}
+QUERIES = {query.__name__: query for query in (op1_toxicity, op2_quality_neighbours, op3_pii_surrogates, op5_exact_top_k, op6_warc, op7_decision_lists, op8_byte_bpe, op9_mixing, op10_simhash_near_dedup)}
 
 
 def _pour_sql(name: str, parent: list[str], own: list[str], weight: str) -> str:

@@ -1,0 +1,98 @@
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyloom.llm import pii, queries
+
+FORMS = {  # plain patterns of what the tables hold
+    "email": r"[\w.+-]+@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]+", "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.]\d)",
+    "phone": r"\+1 \(\d{3}\) \d{3}-\d{4}", "card": r"(?<!\d)\d{16}(?!\d)", "key": r"AKIA[0-9A-Z]{16}",
+    "password": r"(?<=password=)\S+", "token": r'(?<=token = ")[0-9a-f]{40}',
+}
+
+
+def luhn(digits):
+    return sum(sum(divmod(int(c) * (2 - k % 2), 10)) for k, c in enumerate(digits)) % 10
+
+
+def test_whole_table_against_plain_patterns(spark):
+    folder = "/root/testdata/sf0.1"
+    before = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    after = {r.doc_id: r.text for r in queries.op3_pii_surrogates(spark, folder).collect()}
+    assert before.keys() == after.keys()
+    every = re.compile("|".join(FORMS.values()))
+    seen = defaultdict(dict)
+    for doc, text in before.items():
+        assert every.split(text) == every.split(after[doc])
+        for kind, pattern in FORMS.items():
+            old, new = re.findall(pattern, text), re.findall(pattern, after[doc])
+            assert len(old) == len(new)
+            for a, b in zip(old, new):
+                assert a != b and seen[kind].setdefault(a, b) == b
+                assert kind in ("password", "email", "ip") or len(a) == len(b)
+                assert kind != "card" or luhn(a) == luhn(b)
+                assert kind != "ip" or all(int(part) < 256 for part in b.split("."))
+    for kind, made in seen.items():
+        assert len(set(made.values())) == len(made) > 5, kind
+        assert not set(made) & set(made.values()), kind
+
+
+def replaced(spark, *texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.text for r in pii.surrogates(frame, "k").sort("doc_id").collect()]
+
+
+def test_spellings_corefer_and_formats_stay(spark):
+    mails, numbers, card, code = replaced(
+        spark, "Anna.B@mail.example.com anna.b@mail.example.com ANNA.B@MAIL.EXAMPLE.COM", "+1 (386) 555-3733 or +1-386-555-3733",
+        "4777431686562174 4777 4316 8656 2174", "IBAN DE89 3704 0044 0532 0130 00.")
+    first, second, third = mails.split()
+    assert first == second == third.lower() and third == third.upper() and first.endswith(".example.com")
+    assert re.fullmatch(r"\+1 \(\d{3}\) 555-\d{4} or \+1-\d{3}-555-\d{4}", numbers)
+    assert re.sub(r"\D", "", numbers.split(" or ")[0]) == re.sub(r"\D", "", numbers.split(" or ")[1])
+    assert card[:16] == card[17:].replace(" ", "") != "4777431686562174"
+    assert re.fullmatch(r"IBAN DE\d\d( \d{4}){4} \d\d\.", code)
+
+
+def test_names_keep_gender_script_and_coreference(spark):
+    german, russian, greek = replaced(
+        spark, "Frau Eva Berg met Frau Berg and Mr. John BERG. Dr. Who", "г-жа Анна Петрова и г-н Иван Петрова", "κυρία Μαρία Παππά")
+    made = re.fullmatch(r"Frau (\w+) (\w+) met Frau (\w+) and Mr\. (\w+) (\w+)\. Dr\. (\w+)", german)
+    eva, berg, again, john, loud, who = made.groups()
+    assert berg == again == loud.capitalize() and loud == loud.upper() and berg != "Berg" and who != "Who"
+    assert eva.endswith(tuple(pii.LATIN[1]["f"])) and john.endswith(tuple(pii.LATIN[1]["m"]))
+    made = re.fullmatch(r"г-жа (\w+) (\w+) и г-н (\w+) (\w+)", russian).groups()
+    assert made[1] == made[3] and made[0].endswith(tuple(pii.CYRILLIC[1]["f"])) and made[2].endswith(tuple(pii.CYRILLIC[1]["m"]))
+    assert all("А" <= c <= "я" for name in made for c in name)
+    assert re.fullmatch(r"κυρία \w+ \w+", greek) and all(ord(c) > 0x370 for c in greek.replace(" ", ""))
+
+
+def test_collisions_are_drawn_again(spark, monkeypatch):
+    """With formats of too few values every original still gets a surrogate of its own."""
+    monkeypatch.setattr(pii, "_at", lambda stream, k, below: F.pmod(F.conv(F.substring(stream, 1, 4), 16, 10).cast("int"), F.lit(min(below, 2))))
+    texts = [f"10.0.0.{n}" for n in range(12)] + ["1.0.0.0", "2.1.1.1"]
+    got = replaced(spark, *texts)
+    assert len(set(got)) == len(texts) and not set(got) & set(texts)
+
+
+def test_originals_of_the_corpus_are_no_surrogates(spark):
+    first = replaced(spark, "Herr Meier")[0]
+    both = replaced(spark, "Herr Meier", first)
+    assert both[0] not in ("Herr Meier", first) and both[1] not in (both[0], first, "Herr Meier")
+
+
+@pytest.mark.parametrize("text", ["", None, "no entity 2.0. a@b c", "x" * 200_000, "1" * 100_000, "a." * 50_000, "mr " * 30_000])
+def test_texts_without_entities_pass(spark, text):
+    assert replaced(spark, text) == [text]
+
+
+def test_repeats_and_clashing_columns(spark):
+    frame = spark.createDataFrame([(1, "ip 10.1.2.3"), (1, "ip 10.1.2.3"), (None, None)], "doc_id long, text string")
+    frame = frame.withColumns({n: F.lit(7) for n in ("hash", "kind", "canon", "moved", "body", "surrogate")})
+    got = pii.surrogates(frame, "k")
+    assert got.columns == frame.columns
+    rows = got.collect()
+    assert len(rows) == 3 and len({r.text for r in rows}) == 2 and all(r.hash == 7 for r in rows)
+    assert pii.surrogates(frame.limit(0), "k").collect() == []
