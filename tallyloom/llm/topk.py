@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.common import stored
 
-QUERIES_AT_ONCE, VECTORS_AT_ONCE = 512, 8192
+QUERIES_AT_ONCE, VECTORS_AT_ONCE, PAIRS_AT_ONCE = 512, 8192, 1 << 18
+DEPTH = 10  # length of the first local lists in results asked for: longer lists give a higher safe cutoff
 
 
 def quantised(vectors: DataFrame, id_column: str = "vec_id", vector: str = "embedding", factor: int = 64) -> DataFrame:
@@ -39,39 +40,44 @@ def classes(vectors: DataFrame, most_ids: int) -> DataFrame:
     return grouped.withColumn("cid", F.element_at("ids", 1))
 
 
-def _grid(queries: DataFrame, vectors: DataFrame, nodes: int, work: Callable, schema: str, extra: list[str]) -> DataFrame:
-    """Run ``work`` on every (node, block of queries, block of vectors), with that node's components only."""
+def _blocks(frame: DataFrame, size: int) -> int:
+    return max(1, -(-frame.count() // size))
+
+
+def _block(column: str, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(blocks)).cast("int")
 
-    def blocks(frame: DataFrame, size: int) -> int:
-        return max(1, -(-frame.count() // size))
 
-    q_blocks, v_blocks = blocks(queries, QUERIES_AT_ONCE), blocks(vectors, VECTORS_AT_ONCE)
+def _every(blocks: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+
+
+def _grid(queries: DataFrame, vectors: DataFrame, shape: tuple[int, int], nodes: int, work: Callable, schema: str, extra: list[str]) -> DataFrame:
+    """Run ``work`` on every (node, block of queries, block of vectors), with that node's components only."""
     length = F.ceil(F.size("v") / nodes).cast("int")
 
-    def share(frame: DataFrame, own: str, own_blocks: int, other: str, other_blocks: int, columns: list[str]) -> DataFrame:
-        node = F.explode(F.sequence(F.lit(0), F.lit(nodes - 1))).alias("node")
-        dealt = frame.select("cid", "v", *columns, node)
-        dealt = dealt.select("cid", "node", *columns, F.slice("v", F.col("node") * length + 1, length).alias("v"),
-                             F.pmod(F.xxhash64("cid"), F.lit(own_blocks)).cast("int").alias(own))
-        return dealt.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1))))
+    def share(frame: DataFrame, columns: list[str]) -> DataFrame:
+        dealt = frame.select("cid", "v", *columns, _every(nodes).alias("node"))
+        return dealt.select("cid", "node", *columns, F.slice("v", F.col("node") * length + 1, length).alias("v"))
 
-    asked = share(queries, "qb", q_blocks, "vb", v_blocks, extra)
-    held = share(vectors, "vb", v_blocks, "qb", q_blocks, [])
     key = ["node", "qb", "vb"]
+    asked = share(queries, extra).withColumn("qb", _block("cid", shape[0])).withColumn("vb", _every(shape[1]))
+    held = share(vectors, []).withColumn("vb", _block("cid", shape[1])).withColumn("qb", _every(shape[0]))
     return asked.groupBy(*key).cogroup(held.groupBy(*key)).applyInPandas(work, schema)
 
 
-def _products(asked: pd.DataFrame, held: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query ids, vector ids and the integer products of their components; vectors of other lengths are padded."""
-    width = max(asked["v"].map(len).max(), held["v"].map(len).max(), 1)
+def _matrix(rows: pd.Series, width: int) -> np.ndarray:
+    """Vectors as rows; shorter ones end in zeros."""
+    out = np.zeros((len(rows), width), dtype=np.int64)
+    for at, row in enumerate(rows):
+        out[at, : len(row)] = row
+    return out
 
-    def matrix(rows: pd.Series) -> np.ndarray:
-        out = np.zeros((len(rows), width))
-        for at, row in enumerate(rows):
-            out[at, : len(row)] = row
-        return out
 
-    left, right = matrix(asked["v"]), matrix(held["v"])
+def _products(asked: pd.DataFrame, held: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query ids, vector ids and the integer products of their components."""
+    width = max(asked["v"].map(len).max(), held["v"].map(len).max(), 1)
+    left, right = _matrix(asked["v"], width).astype(float), _matrix(held["v"], width).astype(float)
     exact = float(np.abs(left).max()) * float(np.abs(right).max()) * width < 2**53
     product = left @ right.T if exact else left.astype(np.int64) @ right.astype(np.int64).T
     return asked["cid"].to_numpy(), held["cid"].to_numpy(), product.astype(np.int64)
@@ -86,7 +92,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, nodes: int = 2) -
     ``vectors`` and ``queries`` hold (vec_id, v) with integer arrays. Each node owns a share of
     the components and, for each query, a list of partial scores over all vectors.
 
-    1. Each node gives its k + 1 best partial scores of a query. The exact scores of what they
+    1. Each node gives its best partial scores of a query, DEPTH * (k + 1) of them. The exact scores of what they
        name give a cutoff: the (k + 1)-th of them cannot exceed the (k + 1)-th best of all.
     2. A vector that reaches the cutoff reaches a ``nodes``-th of it in at least one node, so
        each node gives every entry from that uniform threshold on. Entries that even the
@@ -97,7 +103,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, nodes: int = 2) -
     end; a query never finds its own id. With at most k other vectors all are returned. Repeated
     rows of one id and vector count once. Empty tables give an empty result.
     """
-    most = k + 1
+    most, deep = k + 1, DEPTH * (k + 1)
     found = stored(classes(vectors.select("vec_id", "v").distinct(), most), "vectors")
     rows = queries.select("vec_id", "v").distinct()
     asked = stored(rows.groupBy("v").agg(F.min("vec_id").alias("cid")), "queries")
@@ -106,7 +112,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, nodes: int = 2) -
         if left.empty or right.empty:
             return pd.DataFrame({"qid": [], "cid": [], "node": [], "part": []})
         qid, cid, product = _products(left, right)
-        few = min(most, len(cid))
+        few = min(deep, len(cid))
         top = np.argpartition(-product, few - 1, axis=1)[:, :few]
         return pd.DataFrame({"qid": np.repeat(qid, few), "cid": cid[top].ravel(), "node": left["node"].iloc[0],
                              "part": np.take_along_axis(product, top, axis=1).ravel()})
@@ -118,14 +124,29 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, nodes: int = 2) -
         at = np.nonzero(product * nodes >= left["cutoff"].to_numpy()[:, None])
         return pd.DataFrame({"qid": qid[at[0]], "cid": cid[at[1]], "node": left["node"].iloc[0], "part": product[at]})
 
-    def exact(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(asked.select(F.col("cid").alias("qid"), F.col("v").alias("qv")), "qid")
-        both = both.join(found.select("cid", "v"), "cid")
-        score = F.aggregate(F.zip_with("qv", "v", lambda a, b: F.coalesce(a * b, F.lit(0))), F.lit(0).cast("long"), lambda a, b: a + b)
-        return both.select("qid", "cid", score.alias("score"))
+    def resolve(_, pairs: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        if pairs.empty:
+            return pd.DataFrame({"qid": [], "cid": [], "score": []})
+        width = max(rows["v"].map(len).max(), 1)
+        sides = []
+        for asks, wanted in ((True, pairs["qid"]), (False, pairs["cid"])):
+            own = rows[rows["asks"] == asks]
+            sides.append(_matrix(own["v"], width)[pd.Index(own["cid"]).get_indexer(wanted)])
+        scores = [np.einsum("ij,ij->i", *(side[at : at + PAIRS_AT_ONCE] for side in sides)) for at in range(0, len(pairs), PAIRS_AT_ONCE)]
+        return pairs[["qid", "cid"]].assign(score=np.concatenate(scores))
 
-    lists = _grid(asked, found, nodes, best, PARTIAL, [])
-    first = _ranked(lists, ["qid", "node"], [F.desc("part"), F.col("cid")], most)
+    def exact(pairs: DataFrame) -> DataFrame:
+        """Whole scores of (qid, cid) pairs; pairs meet their vectors block by block."""
+        key = ["qb", "vb"]
+        placed = pairs.select("qid", "cid", _block("qid", shape[0]).alias("qb"), _block("cid", shape[1]).alias("vb"))
+        left = asked.select("cid", "v", F.lit(True).alias("asks"), _block("cid", shape[0]).alias("qb"), _every(shape[1]).alias("vb"))
+        right = found.select("cid", "v", F.lit(False).alias("asks"), _every(shape[0]).alias("qb"), _block("cid", shape[1]).alias("vb"))
+        both = left.unionByName(right).groupBy(*key)
+        return placed.groupBy(*key).cogroup(both).applyInPandas(resolve, "qid long, cid long, score long")
+
+    shape = _blocks(asked, QUERIES_AT_ONCE), _blocks(found, VECTORS_AT_ONCE)
+    lists = _grid(asked, found, shape, nodes, best, PARTIAL, [])
+    first = _ranked(lists, ["qid", "node"], [F.desc("part"), F.col("cid")], deep)
     scored = _ranked(exact(first.select("qid", "cid").distinct()), ["qid"], [F.desc("score"), F.col("cid")], most)
     cutoffs = scored.groupBy("qid").agg(F.min("score").alias("low"), F.count(F.lit(1)).alias("n"))
     lowest = -(1 << 62) // nodes
@@ -133,7 +154,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, nodes: int = 2) -
     cutoffs = stored(cutoffs.select("qid", safe.alias("cutoff")), "cutoffs")
 
     bounded = asked.join(cutoffs, asked.cid == cutoffs.qid).select("cid", "v", "cutoff")
-    entries = _grid(bounded, found, nodes, above, PARTIAL, ["cutoff"])
+    entries = _grid(bounded, found, shape, nodes, above, PARTIAL, ["cutoff"])
     gathered = entries.groupBy("qid", "cid").agg(F.sum("part").alias("seen"), F.count(F.lit(1)).alias("times"))
     most_possible = F.col("seen") + (nodes - F.col("times")) * F.ceil(F.col("cutoff") / nodes)
     left = gathered.join(cutoffs, "qid").filter(most_possible >= F.col("cutoff"))
