@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, mixing, pii, quality_neighbours, quality_rules, simhash, topk, toxicity, warc
+from tallyloom.llm import bpe, mixing, pii, quality_neighbours, quality_rules, repeats, simhash, topk, toxicity, warc
 from tallyloom.llm.common import held_out, labelled_sample, scratch, table
 
 # Labelled texts each model may learn from at most; what is applied to the documents has no bound.
@@ -70,6 +70,11 @@ def op3_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     return pii.surrogates(documents, PII_KEY, counts="n_entities")
 
 
+def op4_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, folder, "documents"), length=100)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", repeats.digest(F.col("kept")).alias("kept_sha256"))
+
+
 def op5_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = topk.quantised(table(spark, folder, "embeddings"))
     return topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
@@ -93,7 +98,7 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {query.__name__: query for query in (op1_toxicity, op2_quality_neighbours, op3_pii_surrogates, op5_exact_top_k, op6_warc, op7_decision_lists, op8_byte_bpe, op9_mixing, op10_simhash_near_dedup)}
+QUERIES = {query.__name__: query for query in (op1_toxicity, op2_quality_neighbours, op3_pii_surrogates, op4_suffix_array_dedup, op5_exact_top_k, op6_warc, op7_decision_lists, op8_byte_bpe, op9_mixing, op10_simhash_near_dedup)}
 
 
 def _pour_sql(name: str, parent: list[str], own: list[str], weight: str) -> str:
