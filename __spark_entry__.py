@@ -244,15 +244,8 @@ def clean_data_pct(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def layer_reconciliation(spark: SparkSession, folder: str) -> DataFrame:
-    labelled = _labelled(spark, folder)
-    return marts.layer_counts(
-        {
-            "bronze": raw_transactions(spark, folder),
-            "silver_clean": rules.clean(labelled),
-            "silver_quarantine": rules.quarantine(labelled),
-            "gold_fact": facts.fact(rules.clean(labelled)),
-        }
-    )
+    """From one labelling: the fact has a row for each accepted one."""
+    return marts.reconciled(_labelled(spark, folder))
 
 
 def budget_vs_actual(spark: SparkSession, folder: str) -> DataFrame:

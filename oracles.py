@@ -73,7 +73,7 @@ CLEANED = f"""
 trimmed as (
  select transaction_id, account_id, transaction_date as raw_date, trim(transaction_date) as day_text,
   {title_case("trim(category)")} as category, trim(description) as description,
-  lower(trim(transaction_type)) as transaction_type, trim(status) as raw_status, amount as raw_amount
+  lower(trim(transaction_type)) as transaction_type, trim(status) as raw_status, case when abs(amount) < 1e15 then amount end as fit_amount
  from raw_transactions),
 dated as (
  select *, {parse_date("day_text")} as transaction_date from trimmed),
@@ -81,7 +81,7 @@ cleaned as (
  select transaction_id, account_id, raw_date, transaction_date,
   coalesce(regexp_matches(day_text, '^\\d{{2}}-\\d{{2}}-\\d{{4}}$') and substr(day_text, 1, 2) <= '12'
    and substr(day_text, 4, 2) <= '12' and transaction_date is not null, false) as _date_ambiguous,
-  category, abs(raw_amount) as amount, coalesce(raw_amount < 0, false) as _amount_corrected, transaction_type, description,
+  category, abs(fit_amount) as amount, coalesce(fit_amount < 0, false) as _amount_corrected, transaction_type, description,
   raw_status,
   case when lower(raw_status) in ('completed', 'complete', 'done') then 'completed'
    when lower(raw_status) in ('pending', 'failed') then lower(raw_status) end as status

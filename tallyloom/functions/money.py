@@ -8,11 +8,18 @@ from pyspark.sql import functions as F
 # Double sums depend on the order in which partitions arrive. Amounts are summed as
 # decimals, wide enough for six decimal places, and only the result becomes a double.
 EXACT = "decimal(28,6)"
+# Amounts from here on are no amounts: they would not fit the sum of a large table.
+TOO_LARGE = 1e15
 
 
 def correct_amount(rows: DataFrame) -> DataFrame:
-    """Make amounts positive and flag the rows whose sign was changed."""
-    amount = F.col("amount").try_cast("double")
+    """Make amounts positive and flag the rows whose sign was changed.
+
+    What is not a finite number below ``TOO_LARGE`` becomes NULL, so it is rejected by name
+    instead of missing from sums; its text stays in the raw layer.
+    """
+    number = F.col("amount").try_cast("double")
+    amount = F.when(F.abs(number) < TOO_LARGE, number)  # NaN is greater than any number
     return rows.withColumns(
         {
             "_amount_corrected": F.coalesce(amount < 0, F.lit(False)),

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.session import shared_folder
-
 RANK = "_dedup_rank"
+# Transaction ids of one piece of a key: the most rows of distinct ids that one task has to sort for it.
+IDS_A_PIECE = 1_000_000
 
 
 def newest_first() -> list[Column]:
@@ -18,50 +17,28 @@ def newest_first() -> list[Column]:
     return [F.col("_ingested_at").desc(), F.col("transaction_id").asc()]
 
 
-def dedup_rank(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Number the rows of each key from 1. NULL keys form groups like any other value.
-
-    The window needs its rows together by key. Rows already partitioned by one of the
-    keys, after a join on it, satisfy that and are not shuffled again.
-    """
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return rows.withColumn(RANK, F.row_number().over(window))
-
-
-def dedup_rank_spread(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], parts: int) -> DataFrame:
-    """``dedup_rank`` for keys that are too big for one task; the ranks are the same.
+def dedup_rank(rows: DataFrame, keys: Sequence[str], ids_a_piece: int = IDS_A_PIECE) -> DataFrame:
+    """Number the rows of each key from 1, in the order of ``newest_first``. NULL keys form groups like any other value.
 
-    A range partitioning on key and order cuts a big group into consecutive parts. Each
-    part is numbered on its own and shifted by the rows its key has in earlier parts.
-    The placement is written to the shared folder, since both steps must see the same
-    cuts, also after the loss of an executor; the second step reads the keys only.
+    A key may hold a large part of all rows. Its rows are cut into pieces by load time and by
+    ranges of the id, which keep the order; a window numbers each piece, and the count of the
+    rows in earlier pieces of the key, from an aggregate over key columns only, shifts it. One
+    plan serves every size: nothing is counted beforehand, and keys of one piece need no shift.
     """
-    spark = rows.sparkSession
-    placement = f"{shared_folder(spark)}/ranked-{uuid.uuid4().hex}"
-    (
-        rows.repartitionByRange(parts, *[F.col(key) for key in keys], *order)
-        .withColumn("_part", F.spark_partition_id())
-        .write.parquet(placement)
+    piece = F.struct(F.col("_ingested_at"), F.floor(F.col("transaction_id") / ids_a_piece).alias("ids"))
+    placed = rows.withColumns({"_key": F.struct(*keys), "_piece": piece})
+    earlier = (
+        Window.partitionBy("_key")
+        .orderBy(F.col("_piece._ingested_at").desc(), F.col("_piece.ids").asc())
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    placed = spark.read.parquet(placement)
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # Only the first key of a part can have begun before it, so this has at most one
-    # row per part, and is safe to broadcast.
-    carried = (
-        placed.groupBy(*keys, "_part")
+    shifts = (
+        placed.groupBy("_key", "_piece")
         .count()
         .withColumn("_before", F.sum("count").over(earlier))
         .filter(F.col("_before") > 0)
-        .select("_part", "_before", *[F.col(key).alias(f"_carried_{key}") for key in keys])
-        .withColumnRenamed("_part", "_carried_part")
-    )
-    same_group = F.col("_part") == F.col("_carried_part")
-    for key in keys:
-        same_group &= F.col(key).eqNullSafe(F.col(f"_carried_{key}"))
-    within_part = Window.partitionBy("_part", *keys).orderBy(*order)
-    rank = (F.row_number().over(within_part) + F.coalesce("_before", F.lit(0))).cast("int")
-    return (
-        placed.join(F.broadcast(carried), same_group, "left")
-        .withColumn(RANK, rank)
-        .select(*rows.columns, RANK)
+        .select("_key", "_piece", "_before")
     )
+    within = Window.partitionBy("_key", "_piece").orderBy(F.col("transaction_id").asc())
+    numbered = placed.withColumn(RANK, F.row_number().over(within)).join(shifts, ["_key", "_piece"], "left")
+    return numbered.withColumn(RANK, (F.col(RANK) + F.coalesce("_before", F.lit(0))).cast("int")).select(*rows.columns, RANK)

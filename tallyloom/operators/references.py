@@ -5,34 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.skew import HotValues
-
 ORPHAN = "_orphaned_account"
+# Parts into which the rows of one parent are dealt; each parent id is repeated as often.
+SALTS = 32
 
 
-def flag_orphans(rows: DataFrame, parents: DataFrame, key: str) -> DataFrame:
+def flag_orphans(rows: DataFrame, parents: DataFrame, key: str, spread_by: str = "transaction_id") -> DataFrame:
     """Flag the rows whose ``key`` no parent has; a NULL key is an orphan.
 
-    The parents may outgrow memory, so there is no broadcast hint: Spark broadcasts the
-    ids when they are under its size threshold and else joins by sorting.
+    The parents may outgrow memory, so there is no broadcast hint: Spark broadcasts the ids
+    when they are under its size threshold and else joins by sorting. For that case the rows of
+    a parent are dealt to ``SALTS`` tasks by another column, so none holds all of a busy one.
     """
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     known = parents.select(F.col(key).alias("_parent")).filter(F.col("_parent").isNotNull()).distinct()
+    known = known.withColumn("_parent_salt", salts)
+    salt = F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")
     return (
-        rows.join(known, F.col(key) == F.col("_parent"), "left")
-        .withColumn(ORPHAN, F.col("_parent").isNull())
-        .drop("_parent")
-    )
-
-
-def flag_orphans_of_hot(rows: DataFrame, parents: DataFrame, hot: HotValues) -> DataFrame:
-    """``flag_orphans`` for rows that all hold a hot value.
-
-    Only parents with a hot value can match, and there are at most as many of them as
-    hot values, so they are broadcast and the big side stays where it is.
-    """
-    known = parents.filter(hot.matches()).select(F.col(hot.column).alias("_parent")).distinct()
-    return (
-        rows.join(F.broadcast(known), F.col(hot.column) == F.col("_parent"), "left")
+        rows.join(known, (F.col(key) == F.col("_parent")) & (salt == F.col("_parent_salt")), "left")
         .withColumn(ORPHAN, F.col("_parent").isNull())
-        .drop("_parent")
+        .drop("_parent", "_parent_salt")
     )

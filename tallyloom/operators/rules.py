@@ -12,6 +12,7 @@ from tallyloom.config import Settings
 from tallyloom.functions import money
 from tallyloom.operators.dedup import RANK
 from tallyloom.operators.references import ORPHAN
+from tallyloom.schemas import CORRUPT
 
 REASON = "_rejection_reason"
 HELPERS = (RANK, ORPHAN, REASON)
@@ -22,9 +23,15 @@ class Rule(NamedTuple):
     broken: Column
 
 
-def row_rules(settings: Settings) -> list[Rule]:
-    """Rules that need nothing but the row and its account, first match first."""
+def row_rules(settings: Settings, from_file: bool = False) -> list[Rule]:
+    """Rules that need nothing but the row and its account, first match first.
+
+    A line of a file that could not be read as a whole breaks the last one, unless a cell that
+    is missing for that already has a name of its own.
+    """
+    # The names of the reasons.
     day = F.col("transaction_date")
+    unread = [Rule("MALFORMED_LINE", F.col(CORRUPT).isNotNull())] if from_file else []
     return [
         Rule("NULL_DATE", day.isNull()),
         Rule("OUT_OF_RANGE_DATE", ~day.between(F.lit(settings.first_valid_date), F.lit(settings.last_valid_date))),
@@ -33,6 +40,7 @@ def row_rules(settings: Settings) -> list[Rule]:
         Rule("NULL_TRANSACTION_TYPE", F.col("transaction_type").isNull()),
         Rule("INVALID_STATUS", F.col("status").isNull()),
         Rule("ORPHANED_ACCOUNT_ID", F.col(ORPHAN)),
+        *unread,
     ]
 
 
@@ -54,7 +62,7 @@ def first_reason(rules: Sequence[Rule]) -> Column:
 
 def clean(labelled: DataFrame) -> DataFrame:
     """Accepted rows, without the columns that only served the rules."""
-    return labelled.filter(F.col(REASON).isNull()).drop(*HELPERS)
+    return labelled.filter(F.col(REASON).isNull()).drop(*HELPERS, CORRUPT)
 
 
 def quarantine(labelled: DataFrame) -> DataFrame:

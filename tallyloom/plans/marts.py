@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import money
 from tallyloom.functions.text import title_case
+from tallyloom.operators import rules
 
 def _rows() -> Column:
     return F.count(F.lit(1))
@@ -152,6 +153,14 @@ def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
     return result
 
 
+def reconciled(labelled: DataFrame) -> DataFrame:
+    """``layer_counts`` of all layers from one pass over labelled rows."""
+    counts = labelled.agg(*[count.alias(name) for name, count in rules.split_counts().items()])
+    layers = {"bronze": "bronze_rows", "silver_clean": "clean_rows", "silver_quarantine": "rejected_rows", "gold_fact": "clean_rows"}
+    rows = F.array(*[F.struct(F.lit(layer).alias("layer"), F.col(count).alias("rows")) for layer, count in layers.items()])
+    return counts.select(F.inline(rows))
+
+
 def budget_vs_actual(facts: DataFrame, dates: DataFrame, categories: DataFrame, budget: DataFrame) -> DataFrame:
     """Debits against the budget per month and category, also where one side is missing.
 

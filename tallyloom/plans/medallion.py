@@ -10,6 +10,7 @@ from tallyloom.operators import facts as fact_operators
 from tallyloom.operators import guards, rules
 from tallyloom.plans import marts, silver
 from tallyloom.plans.star import star
+from tallyloom.schemas import CORRUPT
 from tallyloom.sources.csv import ingest
 from tallyloom.sources.tables import CLEANED, MODELLED, RAW, Layers
 
@@ -28,7 +29,7 @@ def build_cleaned(layers: Layers, settings: Settings) -> dict[str, int]:
     rejected = F.col(rules.REASON).isNotNull()
     stored = labelled.withColumns({"_quarantined_at": F.when(rejected, F.current_timestamp()), "_rejected": rejected})
     counts = layers.write_observed(CLEANED, LABELLED, stored, rules.split_counts(), partition_by=["_rejected"])
-    kept = [name for name in labelled.columns if name not in rules.HELPERS]
+    kept = [name for name in labelled.columns if name not in (*rules.HELPERS, CORRUPT)]
     layers.define_view(CLEANED, "transactions", LABELLED, kept, "NOT _rejected")
     layers.define_view(
         CLEANED, "transactions_quarantine", LABELLED, [*labelled.columns, "_quarantined_at"], "_rejected"

@@ -10,13 +10,16 @@ from tallyloom.functions.codes import canonicalise
 from tallyloom.functions.dates import parse_mixed_date
 from tallyloom.functions.money import correct_amount
 from tallyloom.functions.text import standardise
-from tallyloom.operators import dedup, references, rules, skew
+from tallyloom.operators import dedup, references, rules
 from tallyloom.schemas import CORRUPT
 
 
 def clean_columns(raw: DataFrame, settings: Settings) -> DataFrame:
-    """Row-local cleaning; one projection over the scan, so unused columns are not read."""
-    rows = raw.drop(CORRUPT)
+    """Row-local cleaning; one projection over the scan, so unused columns are not read.
+
+    The text of a line that the reader could not take apart stays beside it for the rules.
+    """
+    rows = raw
     if settings.keep_raw_values:
         rows = rows.withColumns({"_raw_date": F.col("transaction_date"), "_raw_status": F.col("status")})
     parsed = standardise(rows).withColumn("_parsed", parse_mixed_date(F.col("transaction_date")))
@@ -33,34 +36,16 @@ def clean_columns(raw: DataFrame, settings: Settings) -> DataFrame:
 def label(raw: DataFrame, accounts: DataFrame, settings: Settings) -> DataFrame:
     """Every raw row, cleaned and with its rejection reason, or NULL if accepted.
 
-    The account check goes before the ranking: when Spark sorts for that join, its
-    partitioning by account also serves the window, whose key contains the account.
-    One account may hold a large part of all rows; such accounts take a second way
-    that gives the same labels from evenly sized tasks.
+    The same lazy plan at every size: no job starts here and nothing is written. The account
+    check and the ranking both cut what belongs to one account or one key into parts.
     """
-    hot = skew.find_hot_values(raw, "account_id", settings.hot_account_rows)
-    tests = rules.row_rules(settings)
+    cleaned = clean_columns(raw, settings)
+    tests = rules.row_rules(settings, CORRUPT in cleaned.columns)
     keys = list(settings.business_key)
-    order = dedup.newest_first()
-
-    def mark_survivors(checked: DataFrame) -> DataFrame:
-        if not settings.dedup_after_validation:
-            return checked
-        return checked.withColumn("_valid", rules.first_reason(tests).isNull())
-
+    checked = references.flag_orphans(cleaned, accounts, "account_id")
     if settings.dedup_after_validation:
         keys.append("_valid")
-
-    def ordinary(rows: DataFrame) -> DataFrame:
-        checked = mark_survivors(references.flag_orphans(rows, accounts, "account_id"))
-        return dedup.dedup_rank(checked, keys, order)
-
-    def spread(rows: DataFrame) -> DataFrame:
-        checked = mark_survivors(references.flag_orphans_of_hot(rows, accounts, hot))
-        return dedup.dedup_rank_spread(checked, keys, order, hot.parts())
-
-    cleaned = clean_columns(raw, settings)
+        checked = checked.withColumn("_valid", rules.first_reason(tests).isNull())
+    ranked = dedup.dedup_rank(checked, keys)
     reason = rules.first_reason([*tests, rules.duplicate_rule()])
-    return skew.by_heat(cleaned, hot, ordinary, spread).select(
-        *cleaned.columns, dedup.RANK, references.ORPHAN, reason.alias(rules.REASON)
-    )
+    return ranked.select(*cleaned.columns, dedup.RANK, references.ORPHAN, reason.alias(rules.REASON))

@@ -35,6 +35,8 @@ READ_OPTIONS = {
     "mode": "PERMISSIVE",
     "enforceSchema": "false",
     "columnNameOfCorruptRecord": schemas.CORRUPT,
+    # A query for few columns must still see that a line has too many or too few cells.
+    "columnPruning": "false",
 }
 
 

@@ -43,7 +43,7 @@ def label_stream(rows: DataFrame, accounts: DataFrame, settings: Settings) -> Da
     has. ``accepted_once`` removes them by remembering keys instead.
     """
     checked = references.flag_orphans(clean_columns(rows, settings), accounts, "account_id")
-    return checked.withColumn(rules.REASON, rules.first_reason(rules.row_rules(settings)))
+    return checked.withColumn(rules.REASON, rules.first_reason(rules.row_rules(settings, schemas.CORRUPT in checked.columns)))
 
 
 def accepted_once(labelled: DataFrame, settings: Settings, remember: str) -> DataFrame:

@@ -3,17 +3,20 @@
 from collections import defaultdict
 from dataclasses import replace
 from datetime import date, datetime, timedelta
+from unittest import mock
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tallyloom.config import Settings
+from tallyloom.operators import dedup
 from tallyloom.plans import silver
 from test_dates import by_calendar
 from test_silver import RAW
 
 ACCOUNTS = (1, 2, 3)
+RANKED = dedup.dedup_rank
 FIRST, LAST = date(2023, 1, 1), date(2024, 12, 31)
 STATUSES = {"completed": "completed", "complete": "completed", "done": "completed", "pending": "pending", "failed": "failed"}
 
@@ -60,16 +63,17 @@ row = st.tuples(
 
 
 @pytest.mark.parametrize("after_validation", [False, True])
-@pytest.mark.parametrize("hot_rows", [5, 10**6])
+@pytest.mark.parametrize("ids_a_piece", [7, 10**6])
 @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(drawn=st.lists(row, min_size=150, max_size=300))
-def test_labels_equal_a_plain_loop(spark, after_validation, hot_rows, drawn):
+def test_labels_equal_a_plain_loop(spark, after_validation, ids_a_piece, drawn):
     rows = [
         (tid, account, day, category, amount, kind, "text", status, datetime(2024, 1, 1) + timedelta(days=load), "f")
         for tid, (account, day, category, amount, kind, status, load) in enumerate(drawn)
     ]
     known = spark.createDataFrame([(account,) for account in ACCOUNTS], "account_id long")
-    chosen = replace(Settings(), hot_account_rows=hot_rows, dedup_after_validation=after_validation)
-    labelled = silver.label(spark.createDataFrame(rows, RAW), known, chosen)
+    chosen = replace(Settings(), dedup_after_validation=after_validation)
+    with mock.patch.object(dedup, "dedup_rank", lambda frame, keys: RANKED(frame, keys, ids_a_piece)):
+        labelled = silver.label(spark.createDataFrame(rows, RAW), known, chosen)
     found = {row.transaction_id: (row._dedup_rank, row._rejection_reason) for row in labelled.collect()}
     assert found == loop(rows, after_validation)

@@ -1,14 +1,17 @@
 """Labelling of raw transactions: golden counts, rule order, duplicates, hot accounts."""
 
+import re
 from dataclasses import replace
 from datetime import datetime
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import TESTDATA
 from tallyloom.config import Settings
-from tallyloom.operators import rules, skew
+from tallyloom.functions import money
+from tallyloom.operators import dedup, rules
 from tallyloom.plans import silver
 from tallyloom.sources import csv, standin
 from tallyloom.sources.standin import SETTINGS, raw_accounts, raw_transactions
@@ -173,40 +176,78 @@ def skewed(spark, keep_amounts):
 
 @pytest.mark.parametrize("keep_amounts", [True, False])
 @pytest.mark.parametrize("dedup_after_validation", [True, False])
-def test_hot_accounts_get_the_same_labels(spark, keep_amounts, dedup_after_validation):
+def test_busy_accounts_and_keys_are_labelled_like_others(spark, keep_amounts, dedup_after_validation, monkeypatch):
     rows = skewed(spark, keep_amounts)
     accounts = raw_accounts(spark, f"{TESTDATA}/sf0.001")
-    plain = replace(SETTINGS, dedup_after_validation=dedup_after_validation)
-    cautious = replace(plain, hot_account_rows=60)
-    hot = skew.find_hot_values(rows, "account_id", cautious.hot_account_rows)
-    assert set(hot.values) == {7, -1, None}
-    assert hot.parts() > 8
+    settings = replace(SETTINGS, dedup_after_validation=dedup_after_validation)
+    keys = [*settings.business_key, *(["_valid"] if dedup_after_validation else [])]
 
-    def labels(settings):
-        frame = silver.label(rows, accounts, settings).drop("_ingested_at")
-        return frame.columns, sorted(map(tuple, frame.collect()))
+    def labels():
+        return sorted(map(tuple, silver.label(rows, accounts, settings).drop("_ingested_at").collect()))
 
-    assert labels(cautious) == labels(plain)
+    pieces = dedup.dedup_rank
+    whole = labels()
+    monkeypatch.setattr(dedup, "dedup_rank", lambda frame, by: pieces(frame, by, 100))
+    cut = labels()
+    window = Window.partitionBy(*keys).orderBy(*dedup.newest_first())
+    monkeypatch.setattr(dedup, "dedup_rank", lambda frame, by: frame.withColumn(dedup.RANK, F.row_number().over(window)))
+    assert whole == cut == labels()
 
 
-def test_spread_rank_splits_one_key_over_tasks(spark):
-    from tallyloom.operators import dedup
-
+def test_pieces_of_one_key_give_the_ranks_of_one_window(spark):
     rows = spark.range(5000).selectExpr(
-        "id as transaction_id", "timestamp'2024-01-01' + make_interval(0,0,0,0,0,0,id % 3) as _ingested_at",
+        "if(id % 977 = 0, null, id) as transaction_id", "timestamp'2024-01-01' + make_interval(0,0,0,0,0,0,id % 3) as _ingested_at",
         "if(id % 3 = 0, null, 1) as a", "if(id % 5 = 0, id, 0) as b",
     )
-    keys, order = ["a", "b"], dedup.newest_first()
-    spread = dedup.dedup_rank_spread(rows, keys, order, 16)
-    plain = dedup.dedup_rank(rows, keys, order)
-    assert spread.columns == plain.columns
-    assert sorted(map(str, spread.collect())) == sorted(map(str, plain.collect()))
+    window = Window.partitionBy("a", "b").orderBy(*dedup.newest_first())
+    plain = rows.withColumn(dedup.RANK, F.row_number().over(window))
+    for size in (1, 64, 10**6):
+        cut = dedup.dedup_rank(rows, ["a", "b"], size)
+        assert cut.columns == plain.columns
+        assert sorted(map(str, cut.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_labelling_is_one_lazy_plan(spark):
+    """No job before the result is asked for, and no exchange that puts an account into one task."""
+    folder = f"{TESTDATA}/sf0.001"
+    rows, accounts = raw_transactions(spark, folder), raw_accounts(spark, folder)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.sparkContext.setJobGroup("labelling", "labelling")
+    try:
+        labelled = silver.label(rows, accounts, SETTINGS)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("labelling")
+        plan = labelled._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    dealt = re.findall(r"hashpartitioning\(([^()]*(?:\([^()]*\)[^()]*)*), \d+\)", plan)
+    assert any("_key" in by and "_piece" in by for by in dealt)
+    # distinct account ids are one row each; the transactions go by account and salt
+    assert all("," in by for by in dealt if by.startswith("account_id") and "_parent" not in by)
+    assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+@pytest.mark.parametrize("amount", [float("nan"), float("inf"), float("-inf"), 1e25, -1e15])
+def test_amounts_that_are_none_are_rejected_by_name(spark, amount):
+    rows = [raw_row(1, amount=amount), raw_row(2, amount=5.0), raw_row(3, amount=-0.0), raw_row(4, amount=9.9e14)]
+    labelled = label(spark, rows)
+    assert reasons(labelled) == {1: "NULL_AMOUNT", 2: None, 3: None, 4: None}
+    facts = rules.clean(labelled).withColumn("status", F.lit("x"))
+    assert facts.agg(money.total("amount").alias("t")).first().t == 990000000000005.0
 
 
-def test_few_rows_are_never_hot(spark):
-    rows = spark.createDataFrame([(1,)] * 10, "account_id long")
-    assert not skew.find_hot_values(rows, "account_id", 10)
-    assert skew.find_hot_values(rows, "account_id", 9).values == (1,)
+def test_unreadable_ids_and_surplus_cells_reach_quarantine(spark, tmp_path):
+    source = csv.SOURCES["transactions"]
+    ids, ends = ("1", "TX-77", "99999999999999999999", "4"), ("", "", "", ",ninth")
+    lines = [f"{n},1,2023-05-20,Rent,{10 + k},debit,x,done{end}" for k, (n, end) in enumerate(zip(ids, ends))] + ["5,1,2023-05-20,Rent"]
+    (tmp_path / source.file).write_text("\n".join([",".join(source.schema.names), *lines]) + "\n")
+    raw = csv.read_csv(spark, str(tmp_path), source)
+    labelled = silver.label(raw, spark.createDataFrame([(1,)], "account_id long"), Settings())
+    found = {row._corrupt_record: row._rejection_reason for row in rules.quarantine(labelled).collect()}
+    assert found == {lines[1]: "MALFORMED_LINE", lines[2]: "MALFORMED_LINE", lines[3]: "MALFORMED_LINE", lines[4]: "NULL_AMOUNT"}
+    accepted = rules.clean(labelled)
+    assert [row.transaction_id for row in accepted.collect()] == [1] and "_corrupt_record" not in accepted.columns
 
 
 def test_corrupt_lines_reach_quarantine(spark, tmp_path):
@@ -222,22 +263,6 @@ def test_corrupt_lines_reach_quarantine(spark, tmp_path):
     assert {row.transaction_id for row in raw.filter("_corrupt_record is not null").collect()} == {2, 3}
 
 
-def test_account_join_and_ranking_share_one_shuffle(spark):
-    """With accounts too many to broadcast, the big side is shuffled a single time."""
-    folder = f"{TESTDATA}/sf0.001"
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        labelled = silver.label(raw_transactions(spark, folder), raw_accounts(spark, folder), SETTINGS)
-        plan = labelled._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    above_join, below_join = plan.split("SortMergeJoin", 1)
-    assert "Window" in above_join and "Exchange" not in above_join
-    assert below_join.split("Generate")[0].count("Exchange hashpartitioning(account_id") == 1
-    assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
-
-
 def test_scan_reads_only_the_columns_a_report_needs(spark):
     import __spark_entry__ as registry
 
