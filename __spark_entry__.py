@@ -20,9 +20,10 @@ from tallyloom.functions.money import correct_amount  # noqa: E402
 from tallyloom.functions.text import standardise  # noqa: E402
 from tallyloom.operators import contracts, facts, guards, history, rules  # noqa: E402
 from tallyloom.operators.dimensions import account_dim  # noqa: E402
-from tallyloom.plans import marts, silver, star  # noqa: E402
+from tallyloom.plans import marts, medallion, silver, star  # noqa: E402
 from tallyloom.session import shared_folder, tune  # noqa: E402
 from tallyloom.sources import csv, standin  # noqa: E402
+from tallyloom.sources.tables import MODELLED, Layers  # noqa: E402
 from tallyloom.sources.standin import SETTINGS, raw_accounts, raw_budget, raw_transactions  # noqa: E402
 from tallyloom.streaming import incremental  # noqa: E402
 
@@ -75,7 +76,7 @@ def bronze_accounts(spark: SparkSession, folder: str) -> DataFrame:
 
 def _arrivals(spark: SparkSession, folder: str, landing: str) -> Iterator[None]:
     """Land the transactions in two lots: first sendings, then what was sent again."""
-    rows, resent = standin.transactions_file(spark, folder), F.col("transaction_id") > 1_000_000_000
+    rows, resent = standin.transactions_file(spark, folder), F.col("transaction_id") >= standin.RESENT
     for lot in (rows.filter(~resent), rows.filter(resent)):
         csv.write_csv(lot, landing, csv.SOURCES["transactions"], mode="append")
         yield
@@ -90,15 +91,38 @@ def incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{scratch}/bronze").select(*source.schema.names, "_source_file")
 
 
-def incremental_clean(spark: SparkSession, folder: str) -> DataFrame:
-    """Business keys a stream accepts, each once, also if its copy arrives in a later run."""
+def _settled(spark: SparkSession, folder: str) -> DataFrame:
+    """All that arrived in two lots, each row labelled by the stream and repeats settled over the store."""
     scratch, source = _scratch(spark, "arrivals"), csv.SOURCES["transactions"]
     accounts = raw_accounts(spark, folder)
     for _ in _arrivals(spark, folder, scratch):
         labelled = incremental.label_stream(incremental.arriving(spark, scratch, source), accounts, SETTINGS)
-        accepted = incremental.accepted_once(labelled, SETTINGS, "30 days")
-        incremental.append_available(accepted, f"{scratch}/clean", f"{scratch}/progress")
-    return spark.read.parquet(f"{scratch}/clean").select(*SETTINGS.business_key)
+        incremental.append_available(labelled, f"{scratch}/labelled", f"{scratch}/progress")
+    return incremental.settle(spark.read.parquet(f"{scratch}/labelled"), SETTINGS)
+
+
+def incremental_clean(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that incremental cleaning accepts, each business key once, also if its copy arrives in a later run."""
+    return rules.clean(_settled(spark, folder)).drop(*STAMPS, "_source_file")
+
+
+def incremental_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that incremental cleaning rejects, repeats among them, with the reason."""
+    return rules.quarantine(_settled(spark, folder)).select("transaction_id", *SETTINGS.business_key, rules.REASON)
+
+
+def stored_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact of a whole scheduled run: CSV files, three layers of stored tables, audit, published fact."""
+    scratch, mark = _scratch(spark, "run"), uuid.uuid4().hex[:8]
+    for table, rows in (
+        ("transactions", standin.transactions_file(spark, folder)),
+        ("accounts", standin.accounts_file(spark, folder)),
+        ("budget", standin.budget_file(spark)),
+    ):
+        csv.write_csv(rows, f"{scratch}/landing", csv.SOURCES[table])
+    layers = Layers(spark, location=f"{scratch}/tables", prefix=f"run_{mark}_")
+    medallion.run(layers, f"{scratch}/landing", SETTINGS)
+    return layers.read(MODELLED, "fct_transactions").drop(*STAMPS)
 
 
 def text_standardise(spark: SparkSession, folder: str) -> DataFrame:
@@ -275,6 +299,8 @@ QUERIES: tuple[Query, ...] = (
     bronze_accounts,
     incremental_ingest,
     incremental_clean,
+    incremental_quarantine,
+    stored_run,
     text_standardise,
     mixed_date_parse,
     status_canonicalise,

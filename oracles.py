@@ -138,8 +138,18 @@ def over_cleaned(body: str) -> str:
     return f"with {RAW_TRANSACTIONS}, {CLEANED} {body}"
 
 
-def over_labelled(body: str) -> str:
-    return f"with {RAW_TRANSACTIONS}, {RAW_ACCOUNTS}, {CLEANED}, {LABELLED} {body}"
+def over_labelled(body: str, extra: str = "") -> str:
+    extra = f", {extra}" if extra else ""
+    return f"with {RAW_TRANSACTIONS}, {RAW_ACCOUNTS}, {CLEANED}, {LABELLED}{extra} {body}"
+
+
+# Rows as they arrive in two lots: of the valid ones of a key the first stays.
+SETTLED_WITH = """
+settled as (
+ select *, case when not valid then _rejection_reason
+   when row_number() over (partition by account_id, transaction_date, amount, category, valid
+     order by transaction_id >= 1000000007, transaction_id) > 1 then 'DUPLICATE' end as reason
+ from (select *, _rejection_reason is null or _rejection_reason = 'DUPLICATE' as valid from labelled))"""
 
 
 def over_star(body: str, extra: str = "") -> str:
@@ -177,8 +187,11 @@ SQL: dict[str, str] = {
     "bronze_transactions": over_raw(BRONZE),
     "incremental_ingest": over_raw(BRONZE),
     "incremental_clean": over_labelled(
-        """select distinct account_id, transaction_date, amount, category from labelled
-        where _rejection_reason is null or _rejection_reason = 'DUPLICATE'"""
+        """select transaction_id, account_id, transaction_date, category, amount, transaction_type, description, status,
+        _date_ambiguous, _amount_corrected from settled where reason is null""", SETTLED_WITH
+    ),
+    "incremental_quarantine": over_labelled(
+        "select transaction_id, account_id, transaction_date, amount, nullif(category, '') as category, reason as _rejection_reason from settled where reason is not null", SETTLED_WITH
     ),
     "bronze_accounts": f"with {RAW_ACCOUNTS} select *, 'accounts_raw.csv' as _source_file from raw_accounts",
     "text_standardise": over_cleaned(
@@ -232,6 +245,7 @@ SQL: dict[str, str] = {
         sha256(cast(account_id as varchar)) as account_key, sha256(lower(category)) as category_key from clean"""
     ),
     "fct_transactions": over_star("select * from facts"),
+    "stored_run": over_star("select * from facts"),
     "fk_audit": over_star(
         """select count(*) filter (not exists (select 1 from dim_accounts a where a.account_key = f.account_key)) as orphaned_accounts,
         count(*) filter (not exists (select 1 from dim_date d where d.date_key = f.date_key)) as orphaned_dates,

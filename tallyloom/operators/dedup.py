@@ -17,8 +17,8 @@ def newest_first() -> list[Column]:
     return [F.col("_ingested_at").desc(), F.col("transaction_id").asc()]
 
 
-def dedup_rank(rows: DataFrame, keys: Sequence[str], ids_a_piece: int = IDS_A_PIECE) -> DataFrame:
-    """Number the rows of each key from 1, in the order of ``newest_first``. NULL keys form groups like any other value.
+def dedup_rank(rows: DataFrame, keys: Sequence[str], ids_a_piece: int = IDS_A_PIECE, newest: bool = True) -> DataFrame:
+    """Number the rows of each key from 1, in the order of ``newest_first`` (or oldest load first). NULL keys form groups like any other value.
 
     A key may hold a large part of all rows. Its rows are cut into pieces by load time and by
     ranges of the id, which keep the order; a window numbers each piece, and the count of the
@@ -27,9 +27,10 @@ def dedup_rank(rows: DataFrame, keys: Sequence[str], ids_a_piece: int = IDS_A_PI
     """
     piece = F.struct(F.col("_ingested_at"), F.floor(F.col("transaction_id") / ids_a_piece).alias("ids"))
     placed = rows.withColumns({"_key": F.struct(*keys), "_piece": piece})
+    loaded = F.col("_piece._ingested_at")
     earlier = (
         Window.partitionBy("_key")
-        .orderBy(F.col("_piece._ingested_at").desc(), F.col("_piece.ids").asc())
+        .orderBy(loaded.desc() if newest else loaded.asc(), F.col("_piece.ids").asc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     shifts = (

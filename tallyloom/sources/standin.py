@@ -26,11 +26,15 @@ SETTINGS = replace(
     trend_years=(1999, 2000),
 )
 
+# Ids of orders that were sent again: the recipe holds for order keys below this number.
+RESENT = 1_000_000_007
+# Fixed values that the expected counts depend on.
 CREDITED = ("Salary", "Transfer", "Investment")
 CATEGORIES = [name for names in SETTINGS.category_groups.values() for name in names]
 BUDGETED = [
     name for (_, flow), names in SETTINGS.category_groups.items() if flow == "Outflow" for name in names
 ]
+# Spellings of a status that no rule, or an unusual one, accepts.
 ODD_STATUSES = ("DONE", "complete", "Compleeted", "nil", "NULL", "unknown", "3", "yes")
 
 
@@ -65,7 +69,7 @@ def transactions_file(spark: SparkSession, folder: str) -> DataFrame:
     )
     # One order in 25 is sent twice, under a second id.
     sent = named.withColumn("copy", F.explode(F.when(k % 25 == 6, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-    rows = sent.withColumn("tid", k + copy * 1_000_000_007).withColumn(
+    rows = sent.withColumn("tid", k + copy * RESENT).withColumn(
         "p", F.when((copy == 1) & (k % 50 == 31), F.col("p") + 0.01).otherwise(F.col("p"))
     )
     cat, state = F.col("cat"), F.col("state")

@@ -19,9 +19,10 @@ class Layers:
     catalog: str | None = None
     location: str | None = None
     format: str = "parquet"
+    prefix: str = ""  # of the layers' names, for runs beside each other
 
     def name(self, layer: str, table: str | None = None) -> str:
-        return ".".join(part for part in (self.catalog, layer, table) if part)
+        return ".".join(part for part in (self.catalog, f"{self.prefix}{layer}", table) if part)
 
     def create(self, layer: str) -> None:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.name(layer)}")
@@ -36,6 +37,7 @@ class Layers:
         rows: DataFrame,
         metrics: Mapping[str, Column],
         partition_by: Sequence[str] = (),
+        folder: str | None = None,
     ) -> dict[str, int]:
         """Overwrite a table and return metrics gathered by the write itself.
 
@@ -51,7 +53,7 @@ class Layers:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         if self.location:
-            writer = writer.option("path", f"{self.location}/{layer}/{table}")
+            writer = writer.option("path", f"{self.location}/{layer}/{folder or table}")
         writer.saveAsTable(self.name(layer, table))
         return observed.get
 
@@ -65,3 +67,22 @@ class Layers:
             f"CREATE OR REPLACE VIEW {self.name(layer, view)} AS "
             f"SELECT {chosen} FROM {self.name(layer, table)} WHERE {condition}"
         )
+
+    def stage(self, layer: str, table: str, rows: DataFrame) -> tuple[str, int]:
+        """Write the next version of a table beside it; returns its name and row count.
+
+        With a location, versions take turns between two folders, so nothing piles up.
+        """
+        current = ""
+        if self.spark.catalog.tableExists(self.name(layer, table)):
+            described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(layer, table)}")
+            place = described.filter("col_name = 'Location'").first()
+            current = place.data_type if place else ""
+        folder = f"{table}-b" if current.endswith("-a") else f"{table}-a"
+        rows_of = {"rows": F.count(F.lit(1))}
+        return f"{table}_staged", self.write_observed(layer, f"{table}_staged", rows, rows_of, folder=folder)["rows"]
+
+    def publish(self, layer: str, staged: str, table: str) -> None:
+        """Give a staged version the table's name."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
+        self.spark.sql(f"ALTER TABLE {self.name(layer, staged)} RENAME TO {self.name(layer, table)}")

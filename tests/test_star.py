@@ -201,7 +201,7 @@ def test_stored_tables_have_the_documented_columns(stored):
     ]
     assert layers.read(CLEANED, "transactions").columns == silver
     assert layers.read(CLEANED, "transactions_quarantine").columns == [
-        *silver, "_dedup_rank", "_orphaned_account", "_rejection_reason", "_quarantined_at",
+        *silver[:8], "_corrupt_record", *silver[8:], "_dedup_rank", "_orphaned_account", "_rejection_reason", "_quarantined_at",
     ]
     assert layers.read(MODELLED, "fct_transactions").columns == [
         "transaction_key", "account_key", "date_key", "category_key", "amount", "transaction_type", "status",
@@ -288,4 +288,16 @@ def test_run_into_a_folder_and_again(spark, landing, tmp_path):
     parts = sorted(path.name for path in (lake / "silver" / medallion.LABELLED).iterdir() if path.is_dir())
     assert parts == ["_rejected=false", "_rejected=true"]
     assert layers.read(CLEANED, "transactions").count() == 1258
-    assert spark.read.parquet(str(lake / "gold" / "fct_transactions")).count() == 1258
+    assert layers.read(MODELLED, "fct_transactions").count() == 1258
+    versions = sorted(path.name for path in (lake / "gold").iterdir() if path.name.startswith("fct_"))
+    assert versions == ["fct_transactions-a", "fct_transactions-b"]
+    assert spark.read.parquet(str(lake / "gold" / "fct_transactions-b")).count() == 1258
+
+
+def test_year_filter_reaches_the_stored_fact(spark, landing, tmp_path):
+    """The trend reads the fact with bounds on its own key, which sorted files can be skipped by."""
+    layers = Layers(spark, location=str(tmp_path), prefix="trend_")
+    medallion.run(layers, landing, SETTINGS)
+    plan = medallion.reports(layers, SETTINGS)["monthly_spend_trend"]._jdf.queryExecution().executedPlan().toString()
+    pushed = next(line for line in plan.split("PushedFilters: ") if "date_key" in line.split("]")[0])
+    assert "GreaterThanOrEqual(date_key,19990101)" in pushed and "LessTha" in pushed

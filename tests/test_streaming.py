@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyloom.config import Settings
 from tallyloom.operators import rules
 from tallyloom.sources import csv
+from tallyloom.plans import silver
 from tallyloom.streaming import incremental
 
 SOURCE = csv.SOURCES["transactions"]
@@ -84,3 +85,26 @@ def test_stream_labels_equal_batch_rules(spark, tmp_path):
         4: "NULL_TRANSACTION_TYPE",
         5: "ORPHANED_ACCOUNT_ID",
     }
+
+
+def test_settled_rows_are_all_that_landed(spark, tmp_path):
+    """Accepted and rejected rows together are the landed ones; the batch differs where an invalid row comes first."""
+    settings = replace(Settings(), first_valid_date=date(2023, 1, 1))
+    accounts = spark.createDataFrame([(1,), (2,)], "account_id long")
+    store, progress = str(tmp_path / "labelled"), str(tmp_path / "progress")
+
+    def run():
+        rows = incremental.arriving(spark, str(tmp_path), SOURCE)
+        incremental.append_available(incremental.label_stream(rows, accounts, settings), store, progress)
+        settled = incremental.settle(spark.read.parquet(store), settings)
+        return {row.transaction_id: row._rejection_reason for row in settled.collect()}
+
+    arrive(tmp_path, "a.csv", "5,1,2023-05-20,Rent,5,debit,x,done", "6,1,2023-05-20,Rent,5,debit,x,done", "7,2,2023-05-20,Rent,5,debit,x,bad")
+    assert run() == {5: None, 6: "DUPLICATE", 7: "INVALID_STATUS"}
+    arrive(tmp_path, "b.csv", "1,1,2023-05-20,Rent,5,debit,x,done", "8,2,2023-05-20,Rent,5,debit,x,done", "X,2,2023-05-20,Rent,6,debit,x,done")
+    assert run() == {5: None, 6: "DUPLICATE", 7: "INVALID_STATUS", 1: "DUPLICATE", 8: None, None: "MALFORMED_LINE"}
+
+    raw = spark.read.parquet(store).drop("_rejection_reason", "_orphaned_account")
+    batch = {row.transaction_id: row._rejection_reason for row in silver.label(raw, accounts, settings).collect()}
+    # The batch lets the latest load survive and ranks row 8 behind the invalid row 7 only within one load.
+    assert {n for n in batch if batch[n] != run()[n]} == {1, 5}
