@@ -207,9 +207,9 @@ def sorted_suffixes(strings: list[bytes], cap: int, memory: int = 64 << 20) -> I
     names is ordered), then a second induction carries order and prefixes to all suffixes.
     """
     raw = np.frombuffer(b"\0".join(strings), dtype=np.uint8)
-    text = raw.astype(np.int64) + FIRST
+    text = raw.astype(np.uint16) + np.uint16(FIRST)
     text[np.cumsum([len(s) + 1 for s in strings])[:-1] - 1] = GAP
-    text = np.append(text, END)
+    text = np.append(text, np.uint16(END))
     types, runs = suffix_types(text), run_lengths(text, cap)
     leftmost = np.zeros(len(text), dtype=bool)
     leftmost[1:] = types[1:] & ~types[:-1]
@@ -219,13 +219,13 @@ def sorted_suffixes(strings: list[bytes], cap: int, memory: int = 64 << 20) -> I
     rough = np.concatenate([*rough, [len(text) - 1]])[::-1]  # the end of the shard is the least of all
     stops = np.append(np.flatnonzero(leftmost), len(text) - 1)
     length = stops[np.minimum(np.searchsorted(stops, rough, side="right"), len(stops) - 1)] - rough + 1
-    padded = np.concatenate((text, np.zeros(4, dtype=np.int64))).astype(np.uint64)
+    padded = np.concatenate((text, np.zeros(4, dtype=np.uint16))).astype(np.uint64)
     words = padded[:-4] | padded[1:-3] << np.uint64(16) | padded[2:-2] << np.uint64(32) | padded[3:-1] << np.uint64(48)
     same = length[1:] == length[:-1]
     pair = np.flatnonzero(same)
     longest = int(length.max(initial=1))
     same[pair] = _common(words, rough[pair], rough[pair + 1], longest) >= length[pair]
-    name = np.empty(len(text), dtype=np.int64)
+    name = np.empty(len(text), dtype=np.int32)
     name[rough] = np.concatenate(([0], np.cumsum(~same)))
     places = np.flatnonzero(leftmost)
     seeds = places[_order_of_names(name[places])]

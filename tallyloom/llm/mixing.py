@@ -76,7 +76,7 @@ def leaf_budgets(rows: DataFrame, weights: Mapping[str, Mapping[str, int]], budg
         own = names[: depth + 1]
         nodes = leaves.groupBy(*own).agg(F.sum("tokens").cast(WIDE).alias("tokens"))
         nodes = nodes.withColumns({"cap": cap, "weight": _weight(level, weights)})
-        nodes = nodes.join(above, names[:depth]) if depth else nodes.crossJoin(above)  # one row: the root
+        nodes = nodes.join(above, names[:depth]) if depth else nodes.withColumn("budget", above.scalar())
         above = _pour(nodes, names[:depth] or [F.lit(0)], names[depth]).select(*own, "tokens", F.col("share").alias("budget"))
         if depth < len(LEVELS) - 1:
             above = above.drop("tokens")

@@ -14,7 +14,7 @@ from tallyloom.llm.induced import sorted_suffixes
 
 GRAM = 20  # bytes of the hashed pieces that anchors are chosen from
 BYTES_AT_ONCE = 1 << 20
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 4 << 20
 QUEUE_BYTES = 64 << 20
 LATEST = (1 << 63) - 1
 _MIX = np.uint64(0x9E3779B97F4A7C15)
