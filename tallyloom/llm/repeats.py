@@ -122,38 +122,29 @@ def covered_windows(strings: list[bytes], keys: list[tuple[int, int, int]], leng
     sizes = np.array([len(s) for s in strings])
     begin = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
     owner = np.array(keys, dtype=np.int64)
-    later: list[np.ndarray] = []
-    open_class: list[np.ndarray] = []
-
-    def close() -> None:
-        whole = np.concatenate(open_class)
-        open_class.clear()
-        if len(whole) > 1:
-            string = np.searchsorted(begin, whole, side="right") - 1
-            start = owner[string, 2] + whole - begin[string]
-            order = np.lexsort((start, owner[string, 1], owner[string, 0]))
-            best = np.stack((owner[string, 0], owner[string, 1], start))
-            differs = (best != best[:, order[:1]]).any(axis=0)
-            later.append(whole[differs])
-
+    positions, classes, opened = [], [], 0
     for position, prefix in sorted_suffixes(strings, length, memory):
+        number = opened + np.cumsum(prefix < length)
+        opened = int(number[-1])
         string = np.searchsorted(begin, position, side="right") - 1
-        long = position + length <= begin[string] + sizes[string]
-        # whatever is too short for a window lies between classes, never inside one
-        joins = prefix >= length
-        cuts = np.flatnonzero(~joins)
-        pieces = np.split(np.arange(len(position)), cuts)
-        for k, piece in enumerate(pieces):
-            if k and open_class:
-                close()
-            piece = piece[long[piece]]
-            if len(piece):
-                open_class.append(position[piece])
-    if open_class:
-        close()
-    if not later:
+        whole = position + length <= begin[string] + sizes[string]  # too short for a window: between classes, never inside one
+        positions.append(position[whole])
+        classes.append(number[whole])
+    position, number = np.concatenate(positions), np.concatenate(classes)
+    shared = np.bincount(number, minlength=opened + 1)[number] > 1 if len(number) else np.zeros(0, dtype=bool)
+    position, number = position[shared], number[shared]
+    if not len(position):
+        return
+    string = np.searchsorted(begin, position, side="right") - 1
+    key = np.stack((owner[string, 0], owner[string, 1], owner[string, 2] + position - begin[string]))
+    order = np.lexsort((key[2], key[1], key[0], number))
+    position, number, key = position[order], number[order], key[:, order]
+    first = np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1])))
+    best = key[:, np.repeat(first, np.diff(np.append(first, len(number))))]
+    later = position[(key != best).any(axis=0)]
+    if not len(later):
         return
-    marked = np.sort(np.concatenate(later))
+    marked = np.sort(later)
     new = np.concatenate(([True], marked[1:] != marked[:-1] + 1))
     runs = np.flatnonzero(new)
     last = np.append(runs[1:], len(marked)) - 1
