@@ -21,7 +21,7 @@ from tallyloom.functions.text import standardise  # noqa: E402
 from tallyloom.operators import contracts, facts, guards, history, rules  # noqa: E402
 from tallyloom.operators.dimensions import account_dim  # noqa: E402
 from tallyloom.plans import marts, medallion, silver, star  # noqa: E402
-from tallyloom.session import shared_folder, tune  # noqa: E402
+from tallyloom.session import importable, shared_folder, tune  # noqa: E402
 from tallyloom.sources import csv, standin  # noqa: E402
 from tallyloom.sources.tables import MODELLED, Layers  # noqa: E402
 from tallyloom.sources.standin import SETTINGS, raw_accounts, raw_budget, raw_transactions  # noqa: E402
@@ -349,7 +349,12 @@ def queries() -> dict[str, Query]:
     registered = {query.__name__: tuned(query) for query in QUERIES}
     if training_data is None:
         return registered
-    return registered | training_data.QUERIES | {"pipeline": corpus_pipeline.run}
+
+    def reached(query: Query) -> Query:
+        return lambda spark, folder: query(importable(spark), folder)
+
+    more = training_data.QUERIES | {"pipeline": corpus_pipeline.run}
+    return registered | {name: reached(query) for name, query in more.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -28,6 +29,15 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it, if it is not installed there."""
+    root, env = os.path.dirname(os.path.dirname(os.path.abspath(__file__))), spark.sparkContext.environment
+    paths = [path for path in env.get("PYTHONPATH", "").split(os.pathsep) if path]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return spark
+
+
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
     """Session for scripts and tests; on a cluster the caller brings its own."""
     builder = SparkSession.builder.appName(app_name)
