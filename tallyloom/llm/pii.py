@@ -32,7 +32,11 @@ _NAME = r"\p{Lu}[\p{L}\p{M}'’-]{1,40}"
 # Patterns by type, in order of preference; each starts behind something it could not begin with,
 # and every repetition is bounded or possessive, so that a scan stays linear in the text.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"
-SECRET = r"AKIA[0-9A-Z]{16}(?![0-9A-Z])|(?<=password=)[^\s\"']{4,128}|(?<=token = \")[0-9A-Za-z_-]{16,128}"
+# A secret reaches to the next quote or white space, whatever its length.
+PASSWORD = r"(?<=password=)[^\s\"']++"
+TOKEN = r"(?<=token = \")[^\s\"']{16,}+"
+ACCESS_KEY = r"AKIA[0-9A-Z]{16}(?![0-9A-Z])"
+SECRET = "|".join((ACCESS_KEY, PASSWORD, TOKEN))
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?\d{1,3})?(?![A-Za-z0-9])"
 IP = rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
@@ -45,6 +49,7 @@ ENTITY = "|".join((EMAIL, SECRET, IBAN, IP, SSN, CARD, PHONE, PERSON))
 
 TRIES = 8  # attempts within a format; after them a surrogate grows by the rank of its original
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SYMBOLS = "!#$%&*:;?^~"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -126,6 +131,26 @@ def _like(value: Column, stream: Column, lower: str = LOWER) -> Column:
         .otherwise(c))), "")
 
 
+def _secret(canon: Column, stream: Column) -> Column:
+    """Every character is drawn again, symbols too; only the dots and equal signs of a long token stay, which are its form."""
+    token = canon.rlike(r"^[0-9A-Za-z._~+/=-]{16,}$") & canon.rlike("^(?:[^0-9A-Za-z]*[0-9A-Za-z]){8}")
+
+    def drawn(c: Column, k: Column) -> Column:
+        return (
+            F.when(c.rlike("^[0-9]$"), _pick(DIGITS, stream, k))
+            .when(c.rlike("^[a-z]$"), _pick(LOWER, stream, k))
+            .when(c.rlike("^[A-Z]$"), _pick(UPPER, stream, k))
+            .when(c.rlike(r"^\p{Lu}$"), _pick(UPPER, stream, k))
+            .when(c.rlike(r"^\p{L}$"), _pick(LOWER, stream, k))
+            .when(c.rlike(r"^\p{N}$"), _pick(DIGITS, stream, k))
+            .when(token & c.rlike("^[.=]$"), c)
+            .when(c.isin("-", "_"), _pick("-_", stream, k))
+            .when(c.isin("+", "/"), _pick("+/", stream, k))
+            .otherwise(_pick(SYMBOLS, stream, k)))
+
+    return F.array_join(F.transform(F.split(canon, ""), drawn), "")
+
+
 def _luhn(digits: Column) -> Column:
     """Luhn sum modulo 10 of a string of 16 digits."""
     doubled = F.transform(F.split(digits, ""), lambda c, k: (
@@ -171,8 +196,8 @@ def surrogate_of(key: str, kind: Column, canon: Column, attempt: Column) -> Colu
     def of(x: Column) -> Column:
         kind, canon, stream = x["kind"], x["canon"], x["stream"]
         octets = [(_at(stream, F.lit(k), 256) if k else _at(stream, F.lit(0), 223) + 1).cast("string") for k in range(4)]
-        secret = F.when(canon.startswith("AKIA"), F.concat(F.lit("AKIA"), _like(F.substring(canon, 5, 16), stream)))
-        secret = secret.when(canon.rlike("^[0-9a-f]+$"), _like(canon, stream, "abcdef")).otherwise(_like(canon, stream))
+        secret = F.when(canon.rlike("^AKIA[0-9A-Z]{16}$"), F.concat(F.lit("AKIA"), _like(F.substring(canon, 5, 16), stream)))
+        secret = secret.when(canon.rlike("^[0-9a-f]+$"), _like(canon, stream, "abcdef")).otherwise(_secret(canon, stream))
         iban = F.concat(F.substring(canon, 1, 2), F.substring(_like(canon, stream), 3, 40))
         numbers = _let(_like(canon, stream), lambda digits: number(kind, canon, stream, digits))
         made = F.when(kind == "email", _email(canon, stream, lambda front: _stream(key, F.lit("host"), front, attempt)))

@@ -96,3 +96,22 @@ def test_repeats_and_clashing_columns(spark):
     rows = got.collect()
     assert len(rows) == 3 and len({r.text for r in rows}) == 2 and all(r.hash == 7 for r in rows)
     assert pii.surrogates(frame.limit(0), "k").collect() == []
+
+
+def common_part(a, b):
+    """Length of the longest string that is in both."""
+    return max((n for n in range(1, len(a) + 1) if any(a[k : k + n] in b for k in range(len(a) - n + 1))), default=0)
+
+
+JWT = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.SflKxwRJSMeKKF2QT4fwpMeJf36POk6yJV_adQssw5c"
+
+
+def test_long_secrets_are_replaced_as_a_whole(spark):
+    long = "".join(chr(97 + k * k % 26) + str(k % 7) for k in range(150))
+    token, grown, word, base64 = replaced(
+        spark, f'token = "{JWT}" end', f'token = "{long}"', f"password={long}-tail", 'token = "abcd+efgh/ijkl+mnop/qr=="')
+    made = re.fullmatch(r'token = "([\w-]+\.[\w-]+\.[\w-]+)" end', token).group(1)
+    assert [len(p) for p in made.split(".")] == [len(p) for p in JWT.split(".")] and common_part(made, JWT) < 5
+    assert len(grown) == 310 and common_part(grown[9:-1], long) < 5
+    assert len(word) == 314 and common_part(word[9:], long + "-tail") < 5
+    assert re.fullmatch(r'token = "[a-z]{4}[+/][a-z]{4}[+/][a-z]{4}[+/][a-z]{4}[+/][a-z]{2}=="', base64) and common_part(base64[9:-3], "abcd+efgh/ijkl+mnop/qr") < 5
