@@ -29,14 +29,14 @@ GREEK = ("βα βε γα δα δε θα κα κε κο λα λε λο μα με
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _TITLE = "(?:" + "|".join((*MALE_TITLES, *FEMALE_TITLES, *NEUTRAL_TITLES)) + ")"
 _NAME = r"\p{Lu}[\p{L}\p{M}'’-]{1,40}"
-# Patterns by type, in order of preference; each starts behind something it could not begin with,
+# Patterns by type; each starts behind something it could not begin with,
 # and every repetition is bounded or possessive, so that a scan stays linear in the text.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"
 # A secret reaches to the next quote or white space, whatever its length.
-PASSWORD = r"(?<=password=)[^\s\"']++"
-TOKEN = r"(?<=token = \")[^\s\"']{16,}+"
+# These two start with the `=` or quote before them: no other type starts so, and that character tells the branch.
+PASSWORD = r"(?<=password)=[^\s\"']++"
+TOKEN = r"(?<=token = )\"[^\s\"']{16,}+"
 ACCESS_KEY = r"AKIA[0-9A-Z]{16}(?![0-9A-Z])"
-SECRET = "|".join((ACCESS_KEY, PASSWORD, TOKEN))
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?\d{1,3})?(?![A-Za-z0-9])"
 IP = rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
@@ -45,7 +45,8 @@ PHONE = r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3,4}[ .
 PERSON = rf"(?<![\p{{L}}\d]){_TITLE}\.? {_NAME}(?: {_NAME}){{0,2}}(?![\p{{L}}])"
 # Without one of these a text holds no entity; nearly every position fails on its first character.
 HINT = rf"[0-9@]|password=|token = |(?=[MHSDFPгκ])(?<![\p{{L}}\d]){_TITLE}\.? \p{{Lu}}"
-ENTITY = "|".join((EMAIL, SECRET, IBAN, IP, SSN, CARD, PHONE, PERSON))
+# In order of preference; what a match starts with and is made of tells its branch, see ``kind_of``.
+ENTITY = "|".join((PASSWORD, TOKEN, EMAIL, ACCESS_KEY, IBAN, IP, SSN, CARD, PHONE, PERSON))
 
 TRIES = 8  # attempts within a format; after them a surrogate grows by the rank of its original
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -62,22 +63,26 @@ def _plain(value: Column, keep: str) -> Column:
 
 
 def kind_of(mention: Column) -> Column:
+    """The type whose pattern matched: passwords and tokens carry a mark in front, and the other forms exclude each other."""
     starts = {"given_m": MALE_TITLES, "given_f": FEMALE_TITLES, "given_u": NEUTRAL_TITLES}
     titled = reduce(
         lambda chain, item: chain.when(mention.rlike("^(?:" + "|".join(item[1]) + r")\.? "), F.lit(item[0])), starts.items(),
-        F.when(mention.contains("@"), F.lit("email")),
+        F.when(mention.rlike("^[=\"]"), F.lit("secret")).when(mention.contains("@"), F.lit("email")),
     )
     return (
         titled.when(mention.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), F.lit("ip"))
         .when(mention.rlike(r"^\d{3}-\d{2}-\d{4}$"), F.lit("ssn"))
         .when(mention.rlike(r"^\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}$"), F.lit("card"))
-        .when(mention.rlike(r"^AKIA|^[0-9A-Za-z_-]{16,}$"), F.lit("secret"))
-        .when(mention.rlike(r"^[A-Z]{2}\d{2} ?[A-Z0-9]{4}"), F.lit("iban"))
-        .when(mention.rlike(r"^[+(]|^\d{2,4}[ .-]"), F.lit("phone"))
-        .otherwise(F.lit("secret"))
+        .when(mention.startswith("AKIA"), F.lit("secret"))
+        .when(mention.rlike("^[A-Z]"), F.lit("iban"))
+        .otherwise(F.lit("phone"))
     )
 
 
+def _unmarked(mention: Column) -> Column:
+    return F.regexp_replace(mention, "^[=\"]", "")
+
+
 def script_of(name: Column) -> Column:
     return F.when(name.rlike(r"\p{IsCyrillic}"), F.lit("c")).when(name.rlike(r"\p{IsGreek}"), F.lit("g")).otherwise(F.lit("l"))
 
@@ -98,6 +103,7 @@ def units_of(mention: Column) -> Column:
             F.when(kind == "email", F.lower(mention))
             .when(kind.isin("phone", "card", "ssn"), _plain(mention, r"\D"))
             .when(kind == "iban", _plain(mention, " "))
+            .when(kind == "secret", _unmarked(mention))
             .otherwise(mention)
         )
         return F.when(kind.startswith("given"), named).otherwise(F.array(F.struct(kind.alias("kind"), canon.alias("canon"))))
@@ -280,7 +286,8 @@ def rendered(mention: Column, moved: Column, key: str) -> Column:
     def numbered(form: Column, kind: Column, one: Column) -> Column:
         mail = F.when(form == F.upper(form), F.upper(one)).otherwise(one)
         spaced = F.when(form.contains(" "), F.trim(F.regexp_replace(one, "(.{4})", "$1 "))).otherwise(one)
-        return F.when(kind == "email", mail).when(kind.isin("phone", "card", "ssn"), _pour(form, one)).when(kind == "iban", spaced).otherwise(one)
+        marked = F.concat(F.regexp_extract(form, "^[=\"]", 0), one)
+        return F.when(kind == "secret", marked).when(kind == "email", mail).when(kind.isin("phone", "card", "ssn"), _pour(form, one)).when(kind == "iban", spaced).otherwise(one)
 
     def person(form: Column, made: Column) -> Column:
         words = F.split(F.regexp_replace(form, r"^[^ ]+ ", ""), " ")
