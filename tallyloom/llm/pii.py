@@ -28,7 +28,15 @@ GREEK = ("βα βε γα δα δε θα κα κε κο λα λε λο μα με
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _TITLE = "(?:" + "|".join((*MALE_TITLES, *FEMALE_TITLES, *NEUTRAL_TITLES)) + ")"
-_NAME = r"\p{Lu}[\p{L}\p{M}'’-]{1,40}"
+# Titles that may follow another one; "Don" may be a given name there.
+_STACKED = "(?:" + "|".join(t for t in (*MALE_TITLES, *FEMALE_TITLES, *NEUTRAL_TITLES) if t not in ("Don", "Doña")) + ")"
+_DEGREE = r"(?:(?:med|dent|vet|phil|jur|iur|rer|nat|pol|oec|theol|habil|mult|ing|h\. ?c)\. )"
+_TITLES = rf"{_TITLE}\.? (?:{_STACKED}\.? |{_DEGREE}){{0,8}}"
+_PARTICLE = "(?:(?:von|vom|van|der|den|dem|de|del|della|di|da|do|dos|das|du|des|la|le|lo|el|al|bin|ibn|ben|zu|zum|zur|ter|ten|te|af|av|y) )"
+# A name word ends before 's; titles and suffixes such as Jr are none.
+_NOT_NAME = rf"(?!(?:{_STACKED}|Jr|II|III|IV)(?![\p{{L}}\p{{M}}'’-]))"
+WORD = r"(?:[dl]['’]|[ae]l-)?+\p{Lu}[\p{L}\p{M}]*+(?:['’-](?!s(?![\p{L}\p{M}]))[\p{L}\p{M}]++)*+"
+_PART = rf"{_PARTICLE}{{0,4}}+{_NOT_NAME}(?:\p{{Lu}}\.|{WORD})"
 # Patterns by type; each starts behind something it could not begin with,
 # and every repetition is bounded or possessive, so that a scan stays linear in the text.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"
@@ -42,9 +50,14 @@ IP = rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 CARD = r"(?<![\d-])(?:\d{16}|\d{4} \d{4} \d{4} \d{4}|\d{4}-\d{4}-\d{4}-\d{4})(?![\d-])"
 PHONE = r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?![\d-])|(?<![\d+])\+\d{8,14}(?!\d)"
-PERSON = rf"(?<![\p{{L}}\d]){_TITLE}\.? {_NAME}(?: {_NAME}){{0,2}}(?![\p{{L}}])"
+PERSON = rf"(?<![\p{{L}}\d]){_TITLES}{_PART}(?:(?: |(?<=\.)-?){_PART})*+"
+NAME_WORD = rf"(?<![\p{{L}}\p{{M}}\d]){WORD}(?!\d)"  # what may be a bare mention
+# Capitalised at the start of a sentence: never a bare mention, though a name word behind a title.
+FUNCTION_WORDS = """a an and as at but for from he her his i if in is it of on or she so that the then they this to we what when who you
+    der die das den dem ein eine er sie es ich wir und oder aber im in am auf zu mit von le la les un une il elle et en de du des el los las y o
+    él ella и в на он она они это ο η το οι και""".split()
 # Without one of these a text holds no entity; nearly every position fails on its first character.
-HINT = rf"[0-9@]|password=|token = |(?=[MHSDFPгκ])(?<![\p{{L}}\d]){_TITLE}\.? \p{{Lu}}"
+HINT = rf"[0-9@]|password=|token = |(?=[MHSDFPгκ])(?<![\p{{L}}\d]){_TITLE}\.? \p{{L}}"
 # In order of preference; what a match starts with and is made of tells its branch, see ``kind_of``.
 ENTITY = "|".join((PASSWORD, TOKEN, EMAIL, ACCESS_KEY, IBAN, IP, SSN, CARD, PHONE, PERSON))
 
@@ -66,7 +79,7 @@ def kind_of(mention: Column) -> Column:
     """The type whose pattern matched: passwords and tokens carry a mark in front, and the other forms exclude each other."""
     starts = {"given_m": MALE_TITLES, "given_f": FEMALE_TITLES, "given_u": NEUTRAL_TITLES}
     titled = reduce(
-        lambda chain, item: chain.when(mention.rlike("^(?:" + "|".join(item[1]) + r")\.? "), F.lit(item[0])), starts.items(),
+        lambda chain, item: chain.when(mention.rlike(r"^(?:(?:Dr|Prof)\.? ){0,8}(?:" + "|".join(item[1]) + r")\.? "), F.lit(item[0])), starts.items(),
         F.when(mention.rlike("^[=\"]"), F.lit("secret")).when(mention.contains("@"), F.lit("email")),
     )
     return (
@@ -87,18 +100,28 @@ def script_of(name: Column) -> Column:
     return F.when(name.rlike(r"\p{IsCyrillic}"), F.lit("c")).when(name.rlike(r"\p{IsGreek}"), F.lit("g")).otherwise(F.lit("l"))
 
 
+def name_words(mention: Column) -> Column:
+    """Words and initials of a titled name, without titles and particles."""
+    return F.regexp_extract_all(F.regexp_replace(mention, f"^{_TITLES}", ""), F.lit(WORD), F.lit(0))
+
+
 def units_of(mention: Column) -> Column:
     """What a mention names, as (kind, canon): two spellings of one entity give one unit.
 
     A titled name gives one unit a word: given names by gender, the last word as surname. So
-    "Frau Eva Berg" and "Frau Berg" share the surname's surrogate.
+    "Frau Eva Berg" and "Frau Berg" share the surname's surrogate. A single letter is an
+    initial: it becomes another letter by the key, but names nothing by itself. Titles and
+    particles are not part of a name.
     """
-    words = F.split(F.regexp_replace(mention, r"^[^ ]+ ", ""), " ")
+    words = name_words(mention)
 
     def of(kind: Column) -> Column:
-        named = F.transform(words, lambda word, k: F.struct(
-            F.concat(F.when(k + 1 == F.size(words), F.lit("surname")).otherwise(kind), F.lit("_"), script_of(word)).alias("kind"),
-            F.lower(word).alias("canon")))
+        def named(x: Column) -> Column:
+            return F.transform(x["words"], lambda word, k: F.struct(
+                F.concat(F.when(F.length(word) == 1, F.lit("initial")).when(k == x["last"], F.lit("surname")).otherwise(kind), F.lit("_"), script_of(word)).alias("kind"),
+                F.lower(word).alias("canon")))
+
+        long = F.array_max(F.transform(words, lambda word, k: F.when(F.length(word) > 1, k)))
         canon = (
             F.when(kind == "email", F.lower(mention))
             .when(kind.isin("phone", "card", "ssn"), _plain(mention, r"\D"))
@@ -106,7 +129,7 @@ def units_of(mention: Column) -> Column:
             .when(kind == "secret", _unmarked(mention))
             .otherwise(mention)
         )
-        return F.when(kind.startswith("given"), named).otherwise(F.array(F.struct(kind.alias("kind"), canon.alias("canon"))))
+        return F.when(kind.startswith("given"), _let(F.struct(words.alias("words"), long.alias("last")), named)).otherwise(F.array(F.struct(kind.alias("kind"), canon.alias("canon"))))
 
     return _let(kind_of(mention), of)
 
@@ -176,6 +199,16 @@ def _name(kind: Column, stream: Column) -> Column:
     return F.when(kind.endswith("_c"), of(CYRILLIC)).when(kind.endswith("_g"), of(GREEK)).otherwise(of(LATIN))
 
 
+def _initial(kind: Column, canon: Column, stream: Column) -> Column:
+    """Another letter of the script, never the same."""
+
+    def of(letters: str) -> Column:
+        at = F.instr(F.lit(letters), canon)
+        return F.substring(F.lit(letters), F.pmod(at + _at(stream, F.lit(0), len(letters) - 1), F.lit(len(letters))) + 1, F.lit(1))
+
+    return F.when(kind.endswith("_c"), of("абвгдезиклмнопрстуфхэюя")).when(kind.endswith("_g"), of("αβγδεζηθικλμνξοπρστυφχψω")).otherwise(of(LOWER))
+
+
 def _email(canon: Column, stream: Column, host_stream: Callable[[Column], Column]) -> Column:
     """Another local part; of the host, what is not a reserved example domain or the top domain is redrawn."""
 
@@ -208,7 +241,7 @@ def surrogate_of(key: str, kind: Column, canon: Column, attempt: Column) -> Colu
         numbers = _let(_like(canon, stream), lambda digits: number(kind, canon, stream, digits))
         made = F.when(kind == "email", _email(canon, stream, lambda front: _stream(key, F.lit("host"), front, attempt)))
         made = made.when(kind == "ip", F.concat_ws(".", *octets)).when(kind.isin("card", "phone", "ssn"), numbers)
-        return made.when(kind == "secret", secret).when(kind == "iban", iban).otherwise(_name(kind, stream))
+        return made.when(kind == "secret", secret).when(kind == "iban", iban).when(kind.startswith("initial"), _initial(kind, canon, stream)).otherwise(_name(kind, stream))
 
     return _let(F.struct(kind.alias("kind"), canon.alias("canon"), _stream(key, kind, canon, attempt).alias("stream")), of)
 
@@ -276,6 +309,53 @@ def _cased(word: Column, form: Column) -> Column:
     return F.when((form == F.upper(form)) & (F.length(form) > 1), F.upper(word)).otherwise(F.initcap(word))
 
 
+def _woven(pieces: Column, between: Column) -> Column:
+    return F.array_join(F.zip_with(pieces, between, lambda piece, made: F.concat(piece, F.coalesce(made, F.lit("")))), "")
+
+
+def names_in(mentions: Column, moved: Column, key: str) -> Column:
+    """Name words of all titled mentions of a text, as distinct (canon, made); a word that is both counts as surname."""
+
+    def named(unit: Column) -> Column:
+        made = F.coalesce(F.element_at(moved, F.concat_ws("|", unit["kind"], unit["canon"])),
+                          _name(unit["kind"], _stream(key, unit["kind"], unit["canon"], F.lit(0))))
+        return F.struct(unit["canon"].alias("canon"), made.alias("made"))
+
+    titled = F.filter(mentions, lambda m: kind_of(m).startswith("given"))
+    units = F.filter(F.flatten(F.transform(titled, units_of)), lambda u: u["kind"].rlike("^(given|surname)") & ~u["canon"].isin(*FUNCTION_WORDS))
+    ranked = F.array_sort(F.array_distinct(F.transform(units, lambda u: F.struct(
+        u["canon"].alias("canon"), (~u["kind"].startswith("surname")).alias("given"), u["kind"].alias("kind")))))
+    one = _let(ranked, lambda r: F.filter(r, lambda u, k: (k == 0) | (u["canon"] != F.get(r, k - 1)["canon"])))
+    return F.transform(one, named)
+
+
+def replaced_text(body: Column, moved: Column, key: str) -> Column:
+    """(text, n): the text with surrogates for its mentions and for bare mentions of the names among them, and their number."""
+
+    def bare(piece: Column, names: Column) -> Column:
+        """The piece between two mentions, with each word that is a name of this text replaced."""
+        words = F.regexp_extract_all(piece, F.lit(NAME_WORD), F.lit(0))
+        made = F.transform(words, lambda word: F.coalesce(_cased(F.element_at(names, F.lower(word)), word), word))
+        hits = F.size(F.filter(words, lambda word: F.map_contains_key(names, F.lower(word))))
+        return F.struct(_woven(F.split(piece, NAME_WORD, -1), made).alias("text"), hits.alias("n"))
+
+    def of(mentions: Column) -> Column:
+        new = F.transform(mentions, lambda mention: rendered(mention, moved, key))
+        pieces = F.split(body, ENTITY, -1)
+        plain = F.struct(_woven(pieces, new).alias("text"), F.size(mentions).alias("n"))
+
+        def with_names(names: Column) -> Column:
+            done = F.transform(pieces, lambda piece: bare(piece, names))
+            return _let(done, lambda d: F.struct(
+                _woven(F.transform(d, lambda x: x["text"]), new).alias("text"),
+                (F.size(mentions) + F.aggregate(d, F.lit(0), lambda n, x: n + x["n"])).alias("n")))
+
+        titled = F.exists(mentions, lambda m: m.rlike(f"^{_TITLE}\\.? "))
+        return F.when(titled, _let(F.map_from_entries(names_in(mentions, moved, key)), with_names)).otherwise(plain)
+
+    return _let(mentions_of(body), of)
+
+
 def rendered(mention: Column, moved: Column, key: str) -> Column:
     """The mention with its surrogate in its own format; ``moved`` maps kind|canon to redrawn surrogates."""
 
@@ -290,12 +370,12 @@ def rendered(mention: Column, moved: Column, key: str) -> Column:
         return F.when(kind == "secret", marked).when(kind == "email", mail).when(kind.isin("phone", "card", "ssn"), _pour(form, one)).when(kind == "iban", spaced).otherwise(one)
 
     def person(form: Column, made: Column) -> Column:
-        words = F.split(F.regexp_replace(form, r"^[^ ]+ ", ""), " ")
-        return F.concat(F.regexp_extract(form, r"^[^ ]+ ", 0), F.array_join(F.zip_with(made, words, _cased), " "))
+        tail = F.regexp_replace(form, f"^{_TITLES}", "")
+        return F.concat(F.regexp_extract(form, f"^{_TITLES}", 0), _woven(F.split(tail, WORD, -1), F.zip_with(made, name_words(form), _cased)))
 
     def of_units(x: Column) -> Column:
         first = F.element_at(x["units"], 1)["kind"]
-        return F.when(first.rlike("^(given|surname)"), person(x["form"], x["made"])).otherwise(
+        return F.when(first.rlike("^(given|surname|initial)"), person(x["form"], x["made"])).otherwise(
             numbered(x["form"], first, F.element_at(x["made"], 1)))
 
     drawn = _let(F.struct(mention.alias("form"), units_of(mention).alias("units")), lambda x: F.struct(
@@ -310,6 +390,9 @@ def mentions_of(text: Column) -> Column:
 def surrogates(documents: DataFrame, key: str, text: str = "text", counts: str | None = None) -> DataFrame:
     """The documents with every detected entity replaced in ``text``.
 
+    A name is detected behind a title; its words are then replaced wherever they stand alone in
+    the same text, before or after. The README lists what is not detected.
+
     Replacements depend on the key and the entity alone, so an entity has one surrogate in all
     documents; distinct entities of a kind have distinct ones, none of which is an original of
     the corpus. With ``counts``, a column of that name tells the number of replaced mentions.
@@ -323,18 +406,15 @@ def surrogates(documents: DataFrame, key: str, text: str = "text", counts: str |
     found = documents.filter(hint).select(body.alias("body"))
     units = F.array_distinct(F.flatten(F.transform(mentions_of(F.col("body")), units_of)))
     seen = found.select(F.sha2(F.col("body").cast("binary"), 256).alias("hash"), F.explode(units).alias("unit"))
-    seen = stored(seen.select("hash", "unit.kind", "unit.canon"), "mentions")
+    seen = stored(seen.select("hash", "unit.kind", "unit.canon").filter(~F.col("kind").startswith("initial")), "mentions")
     redrawn = resolve(seen.select("kind", "canon").distinct(), key)
     entries = F.collect_set(F.struct(F.concat_ws("|", "kind", "canon").alias("k"), F.col("surrogate").alias("v")))
     by_text = seen.distinct().join(redrawn, ["kind", "canon"]).groupBy("hash").agg(F.map_from_entries(entries).alias("moved"))
     by_text = stored(by_text, "redrawn").select(F.col("hash").alias("__hash"), F.col("moved").alias("__moved"))
     rows = documents.join(by_text, digest == F.col("__hash"), "left")
     moved = F.coalesce(F.col("__moved"), F.create_map().cast("map<string,string>"))
-    mentions = mentions_of(body)
-    new = F.transform(mentions, lambda mention: rendered(mention, moved, key))
-    pieces = F.split(body, ENTITY, -1)
-    whole = F.array_join(F.zip_with(pieces, new, lambda piece, made: F.concat(piece, F.coalesce(made, F.lit("")))), "")
-    replaced = F.when(hint, whole).otherwise(body)
-    columns = [replaced.alias(text) if name == text else F.col(name) for name in documents.columns if name != counts]
-    extra = [F.coalesce(F.when(hint, F.size(mentions)), F.lit(0)).alias(counts)] if counts else []
-    return rows.select(*columns, *extra)
+    done = F.when(hint, replaced_text(body, moved, key)).otherwise(F.struct(body.alias("text"), F.lit(0).alias("n")))
+    names = [name for name in documents.columns if name != counts]
+    rows = rows.select(*[F.col(name) for name in names], done.alias("__done"))
+    columns = [F.col("__done.text").alias(text) if name == text else F.col(name) for name in names]
+    return rows.select(*columns, *([F.coalesce("__done.n", F.lit(0)).alias(counts)] if counts else []))

@@ -136,3 +136,21 @@ def test_kind_is_the_branch_that_matched(spark):
                "+4930123456789": "phone", "030.123.4567": "phone", "Frau Berg": "given_f"}
     frame = spark.createDataFrame(list(samples.items()), "m string, kind string")
     assert frame.filter(pii.kind_of(F.col("m")) != F.col("kind")).collect() == []
+
+
+def test_titles_initials_particles_and_bare_mentions(spark):
+    stacked, academic, initials, long, again, noble, other = replaced(
+        spark, "Herr Dr. Müller", "Prof. Dr. med. Anna Schmidt", "Mr. J. R.R. Smith", "Mr John Ronald Reuel Tolkien",
+        "Berg? Frau Eva Berg and Berg, then Eva Berg's BERG; The Bergamot of Anna. Mr. The", "Frau Petra von der Leyen", "Berg")
+    assert re.fullmatch(r"Herr Dr\. \w+", stacked) and "Müller" not in stacked
+    made = re.fullmatch(r"Prof\. Dr\. med\. (\w+) (\w+)", academic).groups()
+    assert made[0] != "Anna" and made[1] != "Schmidt" and made[1].endswith(tuple(pii.LATIN[1]["s"]))
+    made = re.fullmatch(r"Mr\. ([A-Z])\. ([A-Z])\.([A-Z])\. (\w+)", initials).groups()
+    assert made[0] != "J" and made[1] == made[2] != "R" and made[3] != "Smith"
+    assert re.fullmatch(r"Mr( \w+){4}", long) and not set(long.split()[1:]) & {"John", "Ronald", "Reuel", "Tolkien"}
+    first, eva, berg, second, eva2, berg2, loud, the = re.fullmatch(
+        r"(\w+)\? Frau (\w+) (\w+) and (\w+), then (\w+) (\w+)'s (\w+); The Bergamot of Anna\. Mr\. (\w+)", again).groups()
+    assert first == berg == second == berg2 == loud.capitalize() != "Berg" and eva == eva2 != "Eva" and the != "The"
+    assert re.fullmatch(r"Frau \w+ von der \w+", noble) and "Leyen" not in noble and other == "Berg"
+    frame = spark.createDataFrame([(1, "Frau Eva Berg met Berg"), (2, "Mr Jo Kay 10.1.2.3")], "doc_id long, text string")
+    assert [r.n for r in pii.surrogates(frame, "k", counts="n").sort("doc_id").collect()] == [2, 2]
