@@ -57,7 +57,7 @@ FUNCTION_WORDS = """a an and as at but for from he her his i if in is it of on o
     der die das den dem ein eine er sie es ich wir und oder aber im in am auf zu mit von le la les un une il elle et en de du des el los las y o
     él ella и в на он она они это ο η το οι και""".split()
 # Without one of these a text holds no entity; nearly every position fails on its first character.
-HINT = rf"[0-9@]|password=|token = |(?=[MHSDFPгκ])(?<![\p{{L}}\d]){_TITLE}\.? \p{{L}}"
+HINT = rf"[0-9@]|AKIA|password=|token = |(?=[MHSDFPгκ])(?<![\p{{L}}\d]){_TITLE}\.? \p{{L}}"
 # In order of preference; what a match starts with and is made of tells its branch, see ``kind_of``.
 ENTITY = "|".join((PASSWORD, TOKEN, EMAIL, ACCESS_KEY, IBAN, IP, SSN, CARD, PHONE, PERSON))
 
