@@ -4,7 +4,9 @@ from collections import Counter
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from tallyloom.llm import bpe, mixing, queries, toxicity
 from tallyloom.llm.common import labelled_sample, stored
@@ -56,3 +58,13 @@ def test_run_on_odd_rows(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     got = corpus_pipeline.run(spark, str(tmp_path))
     assert got.columns == ["doc_id", "lang", "source", "n_tokens", "ids"] and got.count() >= 1
+
+
+def test_a_wrong_round_trip_stops_the_run(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "gute Wörter", "de", "s1", 11), (None, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long")
+    good = corpus_pipeline.tokenise(spark, docs, SF).collect()
+    assert sorted(r.n_tokens for r in good) == sorted([0, len(LIBRARY.encode_ordinary("gute Wörter"))])
+    decode = bpe.decode
+    monkeypatch.setattr(bpe, "decode", lambda *args: decode(*args).withColumn("decoded", F.lit(b"other")))
+    with pytest.raises(Exception, match="decoded ids differ from the text of document"):
+        corpus_pipeline.tokenise(spark, docs, SF).collect()
