@@ -143,7 +143,7 @@ class DecisionList:
         return chain
 
 
-def _best_condition(table: dict[str, np.ndarray], bad: np.ndarray, covered: np.ndarray, cuts: int) -> tuple[float, Condition | None]:
+def _best_condition(table: dict[str, np.ndarray], bad: np.ndarray, covered: np.ndarray) -> tuple[float, Condition | None]:
     """Condition with the greatest information gain over the rows a rule covers so far."""
     best, found = 0.0, None
     y = bad[covered]
@@ -154,8 +154,6 @@ def _best_condition(table: dict[str, np.ndarray], bad: np.ndarray, covered: np.n
         order = np.argsort(seen, kind="stable")
         ranked, hits = seen[order], np.cumsum(y[order])
         edges = np.flatnonzero(ranked[1:] > ranked[:-1]) + 1
-        if len(edges) > cuts:
-            edges = edges[np.linspace(0, len(edges) - 1, cuts).astype(int)]
         for at_least in (True, False):
             p = (p0 - hits[edges - 1]) if at_least else hits[edges - 1]
             total = (len(y) - edges) if at_least else edges
@@ -167,16 +165,15 @@ def _best_condition(table: dict[str, np.ndarray], bad: np.ndarray, covered: np.n
     return best, found
 
 
-def learn(
-    table: dict[str, np.ndarray], bad: np.ndarray, most_rules: int = 12, most_conditions: int = 4,
-    least_precision: float = 0.9, least_covered: int = 3, cuts: int = 512,
-) -> DecisionList:
+def learn(table: dict[str, np.ndarray], bad: np.ndarray, least_precision: float = 0.9, least_covered: int = 3) -> DecisionList:
     """Sequential covering: grow a conjunction on two thirds of the rows, prune it on the rest.
 
     Growing adds the condition of greatest information gain until no good row is covered.
     Pruning drops the last conditions as long as (p - n) / (p + n) on the pruning rows does
     not fall. A rule stays if it is precise enough on the pruning rows; what it covers then
-    leaves the table and the next rule is grown. Rows with missing values take part as zeros.
+    leaves the table and the next rule is grown, until fewer than ``least_covered`` bad rows are
+    left to grow from or a rule covers no pruning row. Every boundary between two values is
+    tried; neither rules nor conditions are counted. Rows with missing values take part as zeros.
     """
     size, rules = len(bad), []
     if not size or bad.all() or not bad.any():
@@ -184,10 +181,10 @@ def learn(
     table = {name: np.nan_to_num(np.asarray(values, dtype=float)) for name, values in table.items()}
     growing = np.arange(size) % 3 != 0
     left = np.ones(size, dtype=bool)
-    while len(rules) < most_rules and (bad & left & growing).sum() >= least_covered:
+    while (bad & left & growing).sum() >= least_covered:
         covered, conditions = left & growing, []
-        while len(conditions) < most_conditions and (~bad & covered).any():
-            _, condition = _best_condition(table, bad, covered, cuts)
+        while (~bad & covered).any():
+            _, condition = _best_condition(table, bad, covered)
             if condition is None:
                 break
             same = (condition.feature, condition.at_least)  # a tighter bound takes the place of a looser one

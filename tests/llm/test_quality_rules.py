@@ -66,3 +66,14 @@ def test_nulls_empties_repeats_and_clashing_columns(spark):
     got = [(r.doc_id, r.n_words, r.n_dup_lines, r.base_failed, r.kept) for r in rules.judge(frame, nothing).collect()]
     assert got == [(1, 0, 0, True, False), (2, 0, 0, True, False), *[(3, 60, 0, False, True)] * 2, (None, 4, 1, True, False)]
     assert rules.judge(frame.limit(0), nothing).collect() == []
+
+
+def test_every_kind_and_every_boundary_counts():
+    rng = np.random.default_rng(2)
+    table = {f"f{k:02}": rng.random(12_000) for k in range(20)}
+    bad = np.any([values > 0.98 for values in table.values()], axis=0)
+    learnt = rules.learn(table, bad)
+    assert {c.feature for rule in learnt.rules for c in rule.conditions} == set(table) and len(learnt.rules) > 12
+    tail = {"x": rng.permutation(12_000).astype(float)}
+    learnt = rules.learn(tail, tail["x"] >= 11_961)
+    assert [c.threshold for c in learnt.rules[0].conditions] and abs(learnt.rules[0].conditions[0].threshold - 11_961) < 4
