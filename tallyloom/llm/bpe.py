@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -12,14 +12,14 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.llm.words import Kept, Words
+
 NONE = np.int64(1) << 62
 NEVER = int(NONE)
 WIDEST = 64  # bytes of a piece up to which many pieces are merged side by side
 PIECES_AT_ONCE = 8192
-CHARS_AT_ONCE = 1 << 20
-CACHED = 300_000
-# A space between two visible characters always begins a new piece, so texts can be cut there.
-CUT = re.compile(r"(?<=\S)(?= \S)")
+BYTES_AT_ONCE = 1 << 20  # of text in a batch that a worker hands on
+KEPT_BYTES = 192 << 20  # a worker remembers parts of texts up to this size, and pieces up to a third of it
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -41,9 +41,13 @@ class Merges:
             if token[:k] in ranks and token[k:] in ranks
         }
         self.pairs = found
+        self.tokens = {rank: token for token, rank in ranks.items()}
         self.keys = np.array(sorted(found), dtype=np.int64)
         self.values = np.array([found[k] for k in self.keys.tolist()], dtype=np.int64)
 
+    def decode(self, packed: bytes) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, np.frombuffer(packed, "<u4").tolist()))
+
     def many(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         wanted = left << 32 | right
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
@@ -83,8 +87,8 @@ def merge_one(piece: bytes, merges: Merges) -> list[int]:
     return [i for i in ids if i >= 0]
 
 
-def merge_side_by_side(pieces: list[bytes], width: int, merges: Merges) -> list[np.ndarray]:
-    """The same for many pieces of at most ``width`` bytes: one tree a piece, all stepped together."""
+def merge_side_by_side(pieces: list[bytes], width: int, merges: Merges) -> list[bytes]:
+    """Packed ids of many pieces of at most ``width`` bytes: one tree a piece, all stepped together."""
     count, levels = len(pieces), width.bit_length() - 1
     length = np.array([len(piece) for piece in pieces])
     padded = np.frombuffer(b"".join(piece.ljust(width, b"\0") for piece in pieces), np.uint8).reshape(count, width)
@@ -129,22 +133,26 @@ def merge_side_by_side(pieces: list[bytes], width: int, merges: Merges) -> list[
         lift(rows, place)
         lift(r, p)
         rows = rows[tree[rows, 1] < NONE]
-    return [line[line >= 0] for line in ids]
+    packed, sizes = ids[ids >= 0].astype("<u4").tobytes(), (4 * (ids >= 0).sum(axis=1)).tolist()
+    ends = list(accumulate(sizes))
+    return [packed[end - size : end] for end, size in zip(ends, sizes)]
 
 
 class Encoder:
-    """Encodes texts; keeps the ids of pieces and of cut texts it has met, up to a fixed number."""
+    """Encodes texts; keeps the ids of pieces and of parts of texts it has met, in bounded memory."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.merges = Merges(ranks)
         self.pattern = regex.compile(pattern)
-        self.known: dict[str, bytes] = {}
+        self.words = Words(self._parts, KEPT_BYTES)
+        self.known = Kept(KEPT_BYTES // 3)
 
-    def pieces(self, pieces: Iterable[bytes]) -> dict[bytes, bytes]:
-        """Packed ids of each distinct piece."""
+    def pieces(self, pieces: Iterable[str]) -> list[bytes]:
+        """Packed ids of each piece."""
         ranks, packed = self.merges.ranks, {}
         by_width: dict[int, list[bytes]] = {}
-        for piece in pieces:
+        coded = [piece.encode() for piece in pieces]
+        for piece in coded:
             rank = ranks.get(piece)
             if rank is not None:
                 packed[piece] = rank.to_bytes(4, "little")
@@ -155,48 +163,62 @@ class Encoder:
         for width, some in by_width.items():
             for at in range(0, len(some), PIECES_AT_ONCE):
                 part = some[at : at + PIECES_AT_ONCE]
-                ids = merge_side_by_side(part, width, self.merges)
-                packed.update((piece, line.astype("<u4").tobytes()) for piece, line in zip(part, ids))
-        return packed
+                packed.update(zip(part, merge_side_by_side(part, width, self.merges)))
+        return [packed[piece] for piece in coded]
+
+    def _parts(self, parts: list[str]) -> list[bytes]:
+        split = [self.pattern.findall(part) for part in parts]
+        return list(map(b"".join, self.known.values(split, self.pieces)))
 
     def texts(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text: unsigned 32-bit little-endian numbers."""
-        cut = [CUT.split(text) for text in texts]
-        if len(self.known) > CACHED:
-            self.known = {}
-        new = {part for parts in cut for part in parts} - self.known.keys()
-        split = {part: [m.encode() for m in self.pattern.findall(part)] for part in new}
-        packed = self.pieces({piece for pieces in split.values() for piece in pieces})
-        known = self.known
-        known.update((part, b"".join([packed[piece] for piece in pieces])) for part, pieces in split.items())
-        return [b"".join([known[part] for part in parts]) for parts in cut]
-
-
-def encode(spark: SparkSession, documents: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
+        return list(map(b"".join, self.words.of(texts)))
+
+
+def groups_of(sizes: Iterable[int], most: int) -> Iterator[slice]:
+    """Neighbouring rows in groups that end once their sizes pass ``most``."""
+    start, held, at = 0, 0, 0
+    for at, size in enumerate(sizes, 1):
+        held += size
+        if held >= most:
+            yield slice(start, at)
+            start, held = at, 0
+    if at > start:
+        yield slice(start, at)
+
+
+def encode(
+    spark: SparkSession, documents: DataFrame, ranks_path: str, pattern: str, text: str = "text",
+    decoded: str | None = None, intact: str | None = None,
+) -> DataFrame:
     """Replace ``text`` by ``ids``: the packed token ids (unsigned 32-bit little-endian) of the whole text.
 
-    A null text counts as empty and gets no ids. All other columns and repeated rows pass
-    unchanged; a column that is called ``ids`` is replaced. The vocabulary file is read once,
-    on the driver, and goes to the executors as a broadcast of its fixed size.
+    With ``decoded`` the ids are decoded again in the same task and the bytes returned under
+    that name; with ``intact`` a column of that name says whether they equal the text's, so the
+    text travels to Python once. A null text counts as empty and gets no ids. All other columns
+    and repeated rows pass unchanged; columns of the three names are replaced. An empty table
+    gives none. The vocabulary file is read once, on the driver, and goes to the executors as a
+    broadcast of its fixed size.
     """
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
-    others = [name for name in documents.columns if name not in (text, "ids")]
+    added = {"ids": "binary", **({decoded: "binary"} if decoded else {}), **({intact: "boolean"} if intact else {})}
+    others = [name for name in documents.columns if name not in (text, *added)]
     rows = documents.select(*others, F.coalesce(F.col(text), F.lit("")).alias(text))
-    target = documents.select(*others, F.lit(b"").alias("ids")).schema
+    target = documents.select(*others, *[F.lit(None).cast(kind).alias(name) for name, kind in added.items()]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks, pattern)
         for batch in batches:
-            texts, packed, at = batch.column(len(others)), [], 0
-            while at < len(texts):
-                held, chars = [], 0
-                while at < len(texts) and chars < CHARS_AT_ONCE:
-                    held.append(texts[at].as_py())
-                    chars += len(held[-1])
-                    at += 1
-                packed += encoder.texts(held)
-            columns = [*batch.columns[: len(others)], pa.array(packed, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*others, "ids"])
+            column = batch.column(len(others))
+            for rows in groups_of((len(value.as_buffer()) for value in column), BYTES_AT_ONCE):
+                texts = column[rows].to_pylist()
+                packed = encoder.texts(texts)
+                made = [pa.array(packed, pa.binary())]
+                if decoded or intact:
+                    back = [encoder.merges.decode(one) for one in packed]
+                    made += [pa.array(back, pa.binary())] if decoded else []
+                    made += [pa.array([one == text.encode() for one, text in zip(back, texts)])] if intact else []
+                yield pa.RecordBatch.from_arrays([*(c[rows] for c in batch.columns[: len(others)]), *made], names=target.names)
 
     return rows.mapInArrow(run, target)
 
@@ -214,7 +236,10 @@ def _encoder(ranks, pattern: str) -> Encoder:
 
 
 def decode(spark: SparkSession, encoded: DataFrame, ranks_path: str, ids: str = "ids") -> DataFrame:
-    """Add ``decoded``: the bytes that the packed ids stand for; null ids give no bytes."""
+    """Add ``decoded``: the bytes that the packed ids stand for; null ids give no bytes.
+
+    All other columns and repeated rows pass unchanged; an empty table gives none.
+    """
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
     others = [name for name in encoded.columns if name not in (ids, "decoded")]
     rows = encoded.select(*others, F.col(ids))
@@ -223,9 +248,11 @@ def decode(spark: SparkSession, encoded: DataFrame, ranks_path: str, ids: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = {rank: token for token, rank in ranks.value.items()}
         for batch in batches:
-            packed = [value.as_py() or b"" for value in batch.column(len(others))]
-            back = [b"".join(map(tokens.__getitem__, np.frombuffer(one, "<u4").tolist())) for one in packed]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(back, pa.binary())], names=target.names)
+            packed = batch.column(len(others))
+            for rows in groups_of((len(value.as_buffer() or b"") for value in packed), BYTES_AT_ONCE):
+                some = (value or b"" for value in packed[rows].to_pylist())
+                back = [b"".join(map(tokens.__getitem__, np.frombuffer(one, "<u4").tolist())) for one in some]
+                yield pa.RecordBatch.from_arrays([*(c[rows] for c in batch.columns), pa.array(back, pa.binary())], names=target.names)
 
     return rows.mapInArrow(run, target)
 

@@ -89,7 +89,7 @@ def op7_decision_lists(spark: SparkSession, folder: str) -> DataFrame:
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     documents = table(spark, folder, "documents").select("doc_id", "text")
-    tokens = bpe.decode(spark, bpe.encode(spark, documents, path, pattern), path)
+    tokens = bpe.encode(spark, documents, path, pattern, decoded="decoded")
     return tokens.select(
         "doc_id",
         bpe.token_count(F.col("ids")).alias("n_tokens"),

@@ -6,7 +6,7 @@ import public_tokenizers
 import tiktoken
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe
+from tallyloom.llm import bpe, words
 from tallyloom.llm.queries import op8_byte_bpe
 
 PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -14,6 +14,21 @@ RANKS = bpe.read_ranks(PATH)
 LIBRARY = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=RANKS, special_tokens={})
 
 
+def test_kept_values_stay_bounded_and_right():
+    kept, asked = words.Kept(4_000), []
+
+    def make(keys):
+        asked.extend(keys)
+        return [key.upper() for key in keys]
+
+    rng = random.Random(1)
+    for _ in range(200):
+        lists = [["often", *(str(rng.randint(0, 500)) for _ in range(3))], []]
+        assert kept.values(lists, make) == [[key.upper() for key in keys] for keys in lists]
+        assert len(kept.now) + len(kept.old) < 40
+    assert asked.count("often") == 1
+
+
 def ids_of(packed):
     return np.frombuffer(packed, "<u4").tolist()
 
@@ -53,7 +68,7 @@ def test_both_trees_agree_with_a_plain_scan():
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
 
     pieces = [bytes(rng.choices(b"aetin the", k=rng.randint(2, 32))) for _ in range(300)]
-    assert [line.tolist() for line in bpe.merge_side_by_side(pieces, 32, merges)] == [plain(p) for p in pieces]
+    assert [ids_of(line) for line in bpe.merge_side_by_side(pieces, 32, merges)] == [plain(p) for p in pieces]
     assert [bpe.merge_one(p, merges) for p in pieces] == [plain(p) for p in pieces]
 
 
@@ -63,6 +78,10 @@ def test_nulls_empties_repeats_and_clashing_columns(spark):
     tokens = bpe.decode(spark, bpe.encode(spark, frame, PATH, PATTERN), PATH)
     assert tokens.columns == ["doc_id", "extra", "ids", "decoded"]
     got = [(r.doc_id, ids_of(r.ids), bytes(r.decoded)) for r in tokens.collect()]
+    once = bpe.encode(spark, frame, PATH, PATTERN, decoded="decoded", intact="intact")
+    assert once.columns == ["doc_id", "extra", "ids", "decoded", "intact"]
+    assert [(r.doc_id, ids_of(r.ids), bytes(r.decoded)) for r in once.collect()] == got
+    assert all(r.intact for r in once.collect())
     assert got == [(1, [], b""), (2, [], b""), *[(3, LIBRARY.encode_ordinary("a b"), b"a b")] * 2,
                    (None, LIBRARY.encode_ordinary("z"), b"z")]
     assert bpe.encode(spark, frame.limit(0), PATH, PATTERN).collect() == []

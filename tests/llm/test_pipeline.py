@@ -64,7 +64,7 @@ def test_a_wrong_round_trip_stops_the_run(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "gute Wörter", "de", "s1", 11), (None, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long")
     good = corpus_pipeline.tokenise(spark, docs, SF).collect()
     assert sorted(r.n_tokens for r in good) == sorted([0, len(LIBRARY.encode_ordinary("gute Wörter"))])
-    decode = bpe.decode
-    monkeypatch.setattr(bpe, "decode", lambda *args: decode(*args).withColumn("decoded", F.lit(b"other")))
+    encode = bpe.encode
+    monkeypatch.setattr(bpe, "encode", lambda *args, **more: encode(*args, **more).withColumn("intact", F.lit(False)))
     with pytest.raises(Exception, match="decoded ids differ from the text of document"):
         corpus_pipeline.tokenise(spark, docs, SF).collect()
