@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, mixing, pii, quality_neighbours, quality_rules, repeats, simhash, topk, toxicity, warc
+from tallyloom.llm import bpe, huffman, mixing, pii, quality_neighbours, quality_rules, repeats, simhash, topk, toxicity, warc
 from tallyloom.llm.common import held_out, labelled_sample, scratch, table
 
 # Labelled texts each model may learn from at most; what is applied to the documents has no bound.
@@ -98,7 +98,15 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {query.__name__: query for query in (op1_toxicity, op2_quality_neighbours, op3_pii_surrogates, op4_suffix_array_dedup, op5_exact_top_k, op6_warc, op7_decision_lists, op8_byte_bpe, op9_mixing, op10_simhash_near_dedup)}
+def op11_huffman_ids(spark: SparkSession, folder: str) -> DataFrame:
+    documents, target = table(spark, folder, "documents"), scratch(spark, "huffman")
+    shards = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    huffman.write(documents, target, public_tokenizers.path("byte_bpe_50k.json"), end_id=0, shards=shards)
+    ids = huffman.read(spark, target)
+    return ids.select("doc_id", "start", bpe.token_count(F.col("ids")).alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+QUERIES = {query.__name__: query for query in (op1_toxicity, op2_quality_neighbours, op3_pii_surrogates, op4_suffix_array_dedup, op5_exact_top_k, op6_warc, op7_decision_lists, op8_byte_bpe, op9_mixing, op10_simhash_near_dedup, op11_huffman_ids)}
 
 
 def _pour_sql(name: str, parent: list[str], own: list[str], weight: str) -> str:
