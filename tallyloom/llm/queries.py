@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, huffman, mixing, pii, quality_neighbours, quality_rules, repeats, simhash, topk, toxicity, warc
-from tallyloom.llm.common import held_out, labelled_sample, scratch, table
+from tallyloom.llm import alignment, bpe, huffman, mixing, pii, quality_neighbours, quality_rules, repeats, simhash, topk, toxicity, warc
+from tallyloom.llm.common import held_out, labelled_sample, scratch, stored, table
 
 # Labelled texts each model may learn from at most; what is applied to the documents has no bound.
 MOST_LABELLED = 12_000
@@ -106,7 +106,15 @@ def op11_huffman_ids(spark: SparkSession, folder: str) -> DataFrame:
     return ids.select("doc_id", "start", bpe.token_count(F.col("ids")).alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {query.__name__: query for query in (op1_toxicity, op2_quality_neighbours, op3_pii_surrogates, op4_suffix_array_dedup, op5_exact_top_k, op6_warc, op7_decision_lists, op8_byte_bpe, op9_mixing, op10_simhash_near_dedup, op11_huffman_ids)}
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    a_path, b_path = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    aligned = alignment.align(table(spark, folder, "documents"), a_path, b_path)
+    kept = stored(aligned.withColumn("groups_sha256", alignment.digest(F.col("groups"))).drop("groups"), "aligned")
+    counted = alignment.with_counts(kept, *alignment.vocabulary_sizes(spark, a_path, b_path))
+    return counted.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+QUERIES = {query.__name__: query for query in (op1_toxicity, op2_quality_neighbours, op3_pii_surrogates, op4_suffix_array_dedup, op5_exact_top_k, op6_warc, op7_decision_lists, op8_byte_bpe, op9_mixing, op10_simhash_near_dedup, op11_huffman_ids, op13_alignment)}
 
 
 def _pour_sql(name: str, parent: list[str], own: list[str], weight: str) -> str:
