@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import alignment, bpe, huffman, mixing, pii, quality_neighbours, quality_rules, repeats, simhash, topk, toxicity, warc
+from tallyloom.llm import alignment, bpe, huffman, mixing, phrases, pii, quality_neighbours, quality_rules, repeats, simhash, topk, toxicity, warc
 from tallyloom.llm.common import held_out, labelled_sample, scratch, stored, table
 
 # Labelled texts each model may learn from at most; what is applied to the documents has no bound.
@@ -106,6 +106,10 @@ def op11_huffman_ids(spark: SparkSession, folder: str) -> DataFrame:
     return ids.select("doc_id", "start", bpe.token_count(F.col("ids")).alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"), least=100, longest=5, top=2000)
+
+
 def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
     a_path, b_path = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     aligned = alignment.align(table(spark, folder, "documents"), a_path, b_path)
@@ -114,7 +118,7 @@ def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
-QUERIES = {query.__name__: query for query in (op1_toxicity, op2_quality_neighbours, op3_pii_surrogates, op4_suffix_array_dedup, op5_exact_top_k, op6_warc, op7_decision_lists, op8_byte_bpe, op9_mixing, op10_simhash_near_dedup, op11_huffman_ids, op13_alignment)}
+QUERIES = {query.__name__: query for query in (op1_toxicity, op2_quality_neighbours, op3_pii_surrogates, op4_suffix_array_dedup, op5_exact_top_k, op6_warc, op7_decision_lists, op8_byte_bpe, op9_mixing, op10_simhash_near_dedup, op11_huffman_ids, op12_collocations, op13_alignment)}
 
 
 def _pour_sql(name: str, parent: list[str], own: list[str], weight: str) -> str:
@@ -204,4 +208,33 @@ SQL: dict[str, str] = {
         select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) rank, vec_id, score
         from scored qualify rank <= 20
     """,
+    "op12_collocations": """
+        with pieces as (
+            select row_number() over () piece, coalesce(lang, 'und') lang,
+                unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) words
+            from documents
+        ), split as (
+            select lang, list_filter(string_split_regex(words, '[\x20\x09]+'), lambda w: w <> '') w from pieces
+        ), grams as (
+            select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) phrase
+            from split, range(1, 6) sizes(k) where len(w) >= k
+        ), counted as (select lang, k, phrase, count(*) a from grams group by all having count(*) >= 100
+        ), totals as (select lang, cast(sum(len(w)) as hugeint) n from split group by lang
+        ), long as (select *, string_split(phrase, ' ') w from counted where k > 1
+        ), cuts as (
+            select lang, phrase, k, a, cut, array_to_string(w[1:cut], ' ') head, array_to_string(w[cut + 1:], ' ') tail
+            from long, range(1, 5) places(cut) where cut < k
+        ), scores as (
+            select c.lang, c.phrase, c.a, cut, x.a l, y.a r, n, (1000 * cast(c.a as hugeint) * n) // (cast(x.a as hugeint) * y.a) score
+            from cuts c join counted x on x.lang = c.lang and x.phrase = head join counted y on y.lang = c.lang and y.phrase = tail join totals t on t.lang = c.lang
+        ), least as (
+            select * from scores qualify row_number() over (partition by lang, phrase order by score, cut) = 1
+        ), inside as (
+            select lang, a longer, unnest(list_transform(range(1, k - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) phrase
+            from long, range(2, 5) sizes(size) where size < k
+        ), largest as (select lang, phrase, max(longer) longer from inside group by all
+        )
+        select lang, cast(row_number() over (partition by lang order by score desc, a desc, phrase) as integer) rank, phrase, a, l, r, cast(n as bigint) n, cast(score as bigint) score
+        from least left join largest using (lang, phrase) where longer is null or 100 * longer < 100 * a qualify rank <= 2000
+    """,
 }
