@@ -160,7 +160,7 @@ class DoubleArray:
             labels = last[children[parent]]
             first, at = labels.min(), free_from
             while True:
-                if len(used) < at + 256 + 2 * width:
+                while len(used) < at + 256 + 2 * width:
                     used = np.append(used, np.zeros(len(used), dtype=bool))
                 good = at + np.arange(256)
                 for step in (labels - first).tolist():
