@@ -5,9 +5,10 @@ from __future__ import annotations
 import os
 import sys
 import uuid
-from collections.abc import Callable, Iterator
+import warnings
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -18,21 +19,21 @@ from tallyloom.functions.dates import parse_mixed_date  # noqa: E402
 from tallyloom.functions.keys import category_key, surrogate_key  # noqa: E402
 from tallyloom.functions.money import correct_amount  # noqa: E402
 from tallyloom.functions.text import standardise  # noqa: E402
-from tallyloom.operators import contracts, facts, guards, history, rules  # noqa: E402
+from tallyloom.operators import contracts, facts, guards, history, repeats, rules  # noqa: E402
 from tallyloom.operators.dimensions import account_dim  # noqa: E402
 from tallyloom.plans import marts, medallion, silver, star  # noqa: E402
 from tallyloom.session import importable, shared_folder, tune  # noqa: E402
 from tallyloom.sources import csv, standin  # noqa: E402
-from tallyloom.sources.tables import MODELLED, Layers  # noqa: E402
+from tallyloom.sources.keyed import KeyedTable  # noqa: E402
+from tallyloom.sources.tables import CLEANED, MODELLED, RAW, Layers  # noqa: E402
 from tallyloom.sources.standin import SETTINGS, raw_accounts, raw_budget, raw_transactions  # noqa: E402
-from tallyloom.streaming import incremental  # noqa: E402
+from tallyloom.streaming import incremental, keystate  # noqa: E402
 
 try:  # the training-data operators are a separate part that may be absent
     import corpus_pipeline  # noqa: E402
     from tallyloom.llm import queries as training_data  # noqa: E402
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "tallyloom.llm"):
-        raise
+except ImportError as missing:  # or a library it needs is
+    warnings.warn(f"without the training-data queries: {missing}")
     corpus_pipeline = training_data = None
 
 STAMPS = ("_ingested_at", "_quarantined_at")
@@ -74,41 +75,62 @@ def bronze_accounts(spark: SparkSession, folder: str) -> DataFrame:
     return _through_csv(spark, standin.accounts_file(spark, folder), "accounts")
 
 
-def _arrivals(spark: SparkSession, folder: str, landing: str) -> Iterator[None]:
-    """Land the transactions in two lots: first sendings, then what was sent again."""
-    rows, resent = standin.transactions_file(spark, folder), F.col("transaction_id") >= standin.RESENT
-    for lot in (rows.filter(~resent), rows.filter(resent)):
-        csv.write_csv(lot, landing, csv.SOURCES["transactions"], mode="append")
+def _arrivals(spark: SparkSession, folder: str, landing: str, lots: Sequence[Column]) -> Iterator[None]:
+    """Land the transactions in lots, each picked by a condition."""
+    rows = standin.transactions_file(spark, folder)
+    for lot in lots:
+        csv.write_csv(rows.filter(lot), landing, csv.SOURCES["transactions"], mode="append")
         yield
 
 
+def _sent_again() -> Column:
+    return F.col("transaction_id") >= standin.RESENT
+
+
 def incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Each run of the stream takes only the files that are new."""
     scratch, source = _scratch(spark, "arrivals"), csv.SOURCES["transactions"]
-    for _ in _arrivals(spark, folder, scratch):
+    for _ in _arrivals(spark, folder, scratch, [~_sent_again(), _sent_again()]):
         arriving = incremental.arriving(spark, scratch, source)
         incremental.append_available(arriving, f"{scratch}/bronze", f"{scratch}/progress")
     return spark.read.parquet(f"{scratch}/bronze").select(*source.schema.names, "_source_file")
 
 
-def _settled(spark: SparkSession, folder: str) -> DataFrame:
-    """All that arrived in two lots, each row labelled by the stream and repeats settled over the store."""
+def _settled(spark: SparkSession, folder: str, lots: Sequence[Column]) -> DataFrame:
+    """All that arrived in lots, each row labelled by the stream and repeats settled by key state."""
     scratch, source = _scratch(spark, "arrivals"), csv.SOURCES["transactions"]
     accounts = raw_accounts(spark, folder)
-    for _ in _arrivals(spark, folder, scratch):
+    state = keystate.KeyState.of(spark, f"{scratch}/settled", SETTINGS)
+    for _ in _arrivals(spark, folder, scratch, lots):
         labelled = incremental.label_stream(incremental.arriving(spark, scratch, source), accounts, SETTINGS)
-        incremental.append_available(labelled, f"{scratch}/labelled", f"{scratch}/progress")
-    return incremental.settle(spark.read.parquet(f"{scratch}/labelled"), SETTINGS)
+        keystate.settle_available(labelled, state, f"{scratch}/progress")
+    return state.rows()
 
 
 def incremental_clean(spark: SparkSession, folder: str) -> DataFrame:
     """Rows that incremental cleaning accepts, each business key once, also if its copy arrives in a later run."""
-    return rules.clean(_settled(spark, folder)).drop(*STAMPS, "_source_file")
+    return rules.clean(_settled(spark, folder, [~_sent_again(), _sent_again()])).drop(*STAMPS, "_source_file")
 
 
 def incremental_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     """Rows that incremental cleaning rejects, repeats among them, with the reason."""
-    return rules.quarantine(_settled(spark, folder)).select("transaction_id", *SETTINGS.business_key, rules.REASON)
+    rejected = rules.quarantine(_settled(spark, folder, [~_sent_again(), _sent_again()]))
+    return rejected.select("transaction_id", *SETTINGS.business_key, rules.REASON)
+
+
+def incremental_settled(spark: SparkSession, folder: str) -> DataFrame:
+    """Three lots: even orders, what was sent again, odd orders, some of them later than their copies."""
+    odd = F.col("transaction_id") % 2 == 1
+    settled = _settled(spark, folder, [~_sent_again() & ~odd, _sent_again(), ~_sent_again() & odd])
+    return settled.select("transaction_id", *SETTINGS.business_key, rules.REASON)
+
+
+def merge_accounts(spark: SparkSession, folder: str) -> DataFrame:
+    """Accounts after three feeds of changes, merged by key; the feeds repeat keys and bring stale states."""
+    table = KeyedTable(spark, _scratch(spark, "accounts"), standin.account_feed(spark, folder, 0).schema, ("account_id",), "version", buckets=64)
+    for number in range(3):
+        table.merge(standin.account_feed(spark, folder, number))
+    return table.read()
 
 
 def stored_run(spark: SparkSession, folder: str) -> DataFrame:
@@ -122,7 +144,10 @@ def stored_run(spark: SparkSession, folder: str) -> DataFrame:
         csv.write_csv(rows, f"{scratch}/landing", csv.SOURCES[table])
     layers = Layers(spark, location=f"{scratch}/tables", prefix=f"run_{mark}_")
     medallion.run(layers, f"{scratch}/landing", SETTINGS)
-    return layers.read(MODELLED, "fct_transactions").drop(*STAMPS)
+    facts_of_run = layers.read(MODELLED, "fct_transactions").drop(*STAMPS)
+    facts_of_run.write.parquet(f"{scratch}/result")
+    layers.drop(RAW, CLEANED, MODELLED)
+    return spark.read.schema(facts_of_run.schema).parquet(f"{scratch}/result")
 
 
 def text_standardise(spark: SparkSession, folder: str) -> DataFrame:
@@ -264,7 +289,7 @@ def total_spend(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def clean_data_pct(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.clean_data_pct(raw_transactions(spark, folder), _clean(spark, folder))
+    return marts.clean_share(_labelled(spark, folder))
 
 
 def layer_reconciliation(spark: SparkSession, folder: str) -> DataFrame:
@@ -277,6 +302,32 @@ def budget_vs_actual(spark: SparkSession, folder: str) -> DataFrame:
     return marts.budget_vs_actual(frames.facts, frames.dates, frames.categories, raw_budget(spark))
 
 
+def _busy_clean(spark: SparkSession, folder: str) -> DataFrame:
+    return standin.busy(_clean(spark, folder))
+
+
+def spend_by_region_as_of(spark: SparkSession, folder: str) -> DataFrame:
+    """Debits by the region and type that the account had on the day, one account holding a third of them."""
+    versions = history.account_history(standin.account_snapshots(spark, folder), ["account_type", "region"])
+    spent = _busy_clean(spark, folder).filter("transaction_type = 'debit'")
+    return marts.spend_as_of(spent, versions)
+
+
+def near_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """Valid transactions of an account that differ by at most a cent and a day, as pairs of distinct business keys."""
+    return repeats.near_repeats(_labelled(spark, folder), SETTINGS)
+
+
+def rolling_spend(spark: SparkSession, folder: str) -> DataFrame:
+    """Spend of the last 30 days and balance at each transaction, one account holding a third of them."""
+    return marts.rolling_spend(_busy_clean(spark, folder))
+
+
+def spend_cube(spark: SparkSession, folder: str) -> DataFrame:
+    frames = _star(spark, folder)
+    return marts.spend_cube(frames.facts, frames.dates, frames.accounts, frames.categories)
+
+
 def account_history(spark: SparkSession, folder: str) -> DataFrame:
     """Three yearly snapshots of the accounts; two in ten change their type on the way."""
     account, year = F.col("account_id"), F.col("year")
@@ -300,6 +351,8 @@ QUERIES: tuple[Query, ...] = (
     incremental_ingest,
     incremental_clean,
     incremental_quarantine,
+    incremental_settled,
+    merge_accounts,
     stored_run,
     text_standardise,
     mixed_date_parse,
@@ -330,6 +383,10 @@ QUERIES: tuple[Query, ...] = (
     clean_data_pct,
     layer_reconciliation,
     budget_vs_actual,
+    spend_by_region_as_of,
+    near_repeats,
+    rolling_spend,
+    spend_cube,
     account_history,
     contract_report,
 )

@@ -152,6 +152,10 @@ settled as (
  from (select *, _rejection_reason is null or _rejection_reason = 'DUPLICATE' as valid from labelled))"""
 
 
+# Every third accepted transaction moved to one account.
+BUSY = "busy as (select * replace (case when transaction_id % 3 = 0 then 3 else account_id end as account_id) from clean)"
+
+
 def over_star(body: str, extra: str = "") -> str:
     extra = f", {extra}" if extra else ""
     return f"with {RAW_TRANSACTIONS}, {RAW_ACCOUNTS}, {CLEANED}, {LABELLED}, {DIMENSIONS}{extra} {body}"
@@ -193,6 +197,71 @@ SQL: dict[str, str] = {
     "incremental_quarantine": over_labelled(
         "select transaction_id, account_id, transaction_date, amount, nullif(category, '') as category, reason as _rejection_reason from settled where reason is not null", SETTLED_WITH
     ),
+    "incremental_settled": over_labelled(
+        "select transaction_id, account_id, transaction_date, amount, nullif(category, '') as category, reason as _rejection_reason from settled",
+        SETTLED_WITH.replace(
+            "transaction_id >= 1000000007, transaction_id", "case when transaction_id >= 1000000007 then 1 else transaction_id % 2 * 2 end, transaction_id"
+        ),
+    ),
+    "merge_accounts": f"""with {RAW_ACCOUNTS},
+        base as (select account_id, trim(customer_name) as name, upper(account_type) as account_type, upper(region) as region from raw_accounts),
+        opened as (select account_id + 10000000 as account_id, name, account_type, region from base where account_id % 50 = 7),
+        states as (
+         select *, 1 as version, '' as label from base
+         union all select *, 2, ' renamed' from base where account_id % 10 = 3
+         union all select *, 1, '' from opened
+         union all select *, 0, ' stale' from base where account_id % 10 = 6
+         union all select *, 3, ' twice' from base where account_id % 20 = 3
+         union all select *, 4, ' thrice' from base where account_id % 20 = 3
+         union all select *, 5, ' kept' from opened where account_id % 100 = 7)
+        select account_id, name || label as customer_name, account_type, region, cast(version as bigint) as version from states
+        qualify row_number() over (partition by account_id order by version desc) = 1""",
+    "spend_by_region_as_of": over_labelled(
+        f"""select v.region, v.account_type, {total("amount")} as total_spend, count(*) as transaction_count
+        from busy f left join versions v on v.account_id = f.account_id and v.snapshot_date <= f.transaction_date
+         and (v.until is null or f.transaction_date < v.until)
+        where transaction_type = 'debit' group by 1, 2""",
+        f"""{BUSY}, taken as (
+         select account_id, upper(account_type) as account_type,
+          case when account_id % 10 = 3 and n >= 1 then 'EUROPE' when account_id % 10 = 4 and n = 1 then 'ASIA' else upper(region) end as region,
+          case n when 0 then date '1995-06-01' when 1 then date '1997-01-15' else date '1999-03-31' end as snapshot_date
+         from raw_accounts, (select unnest([0, 1, 2]) as n) where account_id % 7 <> 5 or n > 0),
+        marked as (
+         select *, lag(snapshot_date) over w is null or (region, account_type) is distinct from (lag(region) over w, lag(account_type) over w) as starts
+         from taken window w as (partition by account_id order by snapshot_date)),
+        versions as (
+         select *, lead(snapshot_date) over (partition by account_id order by snapshot_date) as until from marked where starts)""",
+    ),
+    "near_repeats": over_labelled(
+        """select l.account_id, l.first_id as left_id, r.first_id as right_id, l.n as left_rows, r.n as right_rows,
+        cast(date_diff('day', l.transaction_date, r.transaction_date) as integer) as days_apart,
+        cast(round(r.exact - l.exact, 2) as double) as amount_apart
+        from classes l join classes r on l.account_id = r.account_id and l.first_id < r.first_id
+         and abs(date_diff('day', l.transaction_date, r.transaction_date)) <= 1 and abs(l.exact - r.exact) <= 0.01""",
+        """classes as (
+         select account_id, transaction_date, amount, cast(amount as decimal(28,6)) as exact, category, min(transaction_id) as first_id, count(*) as n
+         from labelled where _rejection_reason is null or _rejection_reason = 'DUPLICATE' group by all)""",
+    ),
+    "rolling_spend": over_labelled(
+        """select transaction_id, account_id, transaction_date,
+        cast(round(sum(case when transaction_type = 'debit' then cast(amount as decimal(28,6)) else 0 end) over (
+         partition by account_id order by transaction_date range between interval 29 days preceding and current row), 2) as double) as spend_30d,
+        cast(round(sum(case transaction_type when 'credit' then cast(amount as decimal(28,6)) when 'debit' then -cast(amount as decimal(28,6)) else 0 end) over (
+         partition by account_id order by transaction_date, transaction_id rows unbounded preceding), 2) as double) as balance
+        from busy""",
+        BUSY,
+    ),
+    "spend_cube": over_star(
+        f"""select case grouping(year, month_num, category_group, category_name, region, account_type, status)
+          when 15 then 'monthly_spend_trend' when 39 then 'spend_by_category' when 121 then 'spend_by_region'
+          when 31 then 'income_vs_outflow' when 126 then 'status_breakdown' end as report,
+         year, month_num, category_group, category_name, region, account_type, status,
+         {total("case when transaction_type = 'debit' then amount else 0 end")} as total_spend,
+         {total("case when transaction_type = 'credit' then amount else 0 end")} as total_income,
+         {total("amount")} as total_amount, count(*) filter (transaction_type = 'debit') as debit_count, count(*) as transaction_count
+        from facts join dim_date using (date_key) join dim_category using (category_key) left join dim_accounts using (account_key)
+        group by grouping sets ((year, month_num, category_group), (year, category_group, category_name), (region, account_type), (year, month_num), (status))"""
+    ),
     "bronze_accounts": f"with {RAW_ACCOUNTS} select *, 'accounts_raw.csv' as _source_file from raw_accounts",
     "text_standardise": over_cleaned(
         "select transaction_id, category, description, transaction_type, raw_status as status from cleaned"

@@ -6,23 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ORPHAN = "_orphaned_account"
-# Parts into which the rows of one parent are dealt; each parent id is repeated as often.
-SALTS = 32
 
 
-def flag_orphans(rows: DataFrame, parents: DataFrame, key: str, spread_by: str = "transaction_id") -> DataFrame:
+def flag_orphans(rows: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     """Flag the rows whose ``key`` no parent has; a NULL key is an orphan.
 
     The parents may outgrow memory, so there is no broadcast hint: Spark broadcasts the ids
-    when they are under its size threshold and else joins by sorting. For that case the rows of
-    a parent are dealt to ``SALTS`` tasks by another column, so none holds all of a busy one.
+    when they are under its size threshold and else joins by sorting. There, adaptive execution
+    splits the partition of a busy parent by its measured size (``session.SESSION_CONF``) and
+    reads that parent's one id once for each part; all other parents are read once.
     """
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     known = parents.select(F.col(key).alias("_parent")).filter(F.col("_parent").isNotNull()).distinct()
-    known = known.withColumn("_parent_salt", salts)
-    salt = F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")
-    return (
-        rows.join(known, (F.col(key) == F.col("_parent")) & (salt == F.col("_parent_salt")), "left")
-        .withColumn(ORPHAN, F.col("_parent").isNull())
-        .drop("_parent", "_parent_salt")
-    )
+    joined = rows.join(known, F.col(key) == F.col("_parent"), "left")
+    return joined.withColumn(ORPHAN, F.col("_parent").isNull()).drop("_parent")

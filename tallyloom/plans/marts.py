@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import money
 from tallyloom.functions.text import title_case
-from tallyloom.operators import rules
+from tallyloom.operators import asof, rolling, rules
 
 def _rows() -> Column:
     return F.count(F.lit(1))
@@ -107,6 +107,32 @@ def spend_by_region(facts: DataFrame, accounts: DataFrame) -> DataFrame:
     )
 
 
+def spend_as_of(spent: DataFrame, versions: DataFrame) -> DataFrame:
+    """Debits by the region and account type that were valid on their day; NULL where no version was.
+
+    ``spent`` has natural account ids and days; it is summed by account and day before versions
+    are looked up.
+    """
+    daily = spent.groupBy("account_id", "transaction_date").agg(F.sum(money.exact("amount")).alias("_spend"), _rows().alias("_rows"))
+    placed = asof.as_of(daily, versions, "account_id", "transaction_date", ["region", "account_type"])
+    return (
+        placed.groupBy("region", "account_type")
+        .agg(money.cents(F.sum("_spend")).alias("total_spend"), F.sum("_rows").alias("transaction_count"))
+        .orderBy(F.desc("total_spend"), "region", "account_type")
+    )
+
+
+def rolling_spend(clean: DataFrame, days: int = 30) -> DataFrame:
+    """Debits of the account's last days, and credits less debits up to each of its transactions."""
+    amount, none = money.exact("amount"), F.lit(0).cast(money.EXACT)
+    spend = F.when(_of_type("debit"), amount).otherwise(none)
+    flow = F.when(_of_type("credit"), amount).when(_of_type("debit"), -amount).otherwise(none)
+    summed = rolling.rolling(clean, "account_id", "transaction_date", "transaction_id", {"_spend": spend}, {"_balance": flow}, days)
+    return summed.select(
+        "transaction_id", "account_id", "transaction_date", money.cents(F.col("_spend")).alias(f"spend_{days}d"), money.cents(F.col("_balance")).alias("balance")
+    )
+
+
 def income_vs_outflow(facts: DataFrame, dates: DataFrame) -> DataFrame:
     """Credits, debits and their difference per month."""
     income = money.total_where("amount", _of_type("credit"))
@@ -124,6 +150,51 @@ def income_vs_outflow(facts: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
+# The sets of columns by which the cube sums, by the report each one answers.
+CUBE_SETS: dict[str, tuple[str, ...]] = {
+    "monthly_spend_trend": ("year", "month_num", "category_group"),
+    "spend_by_category": ("year", "category_group", "category_name"),
+    "spend_by_region": ("region", "account_type"),
+    "income_vs_outflow": ("year", "month_num"),
+    "status_breakdown": ("status",),
+}
+CUBE_COLUMNS = ("year", "month_num", "category_group", "category_name", "region", "account_type", "status")
+
+
+def spend_cube(facts: DataFrame, dates: DataFrame, accounts: DataFrame, categories: DataFrame) -> DataFrame:
+    """The sums behind five reports from one read of the fact: one row for each group of each of ``CUBE_SETS``.
+
+    ``report`` names the set; columns outside it are NULL. Facts are summed by account and every
+    other column of the cube before they meet the accounts, and only these sums are multiplied by
+    the sets.
+    """
+    named = _categorised(_dated(facts, dates, "year", "month_num"), categories, "category_group", "category_name")
+    amount = money.exact("amount")
+    nothing = F.lit(0).cast(money.EXACT)
+    sums = {
+        "spend": F.when(_of_type("debit"), amount).otherwise(nothing),
+        "income": F.when(_of_type("credit"), amount).otherwise(nothing),
+        "amount": amount,
+    }
+    own = [name for name in CUBE_COLUMNS if name not in ("region", "account_type")]
+    small = named.groupBy("account_key", *own).agg(
+        *[F.sum(value).alias(f"_{name}") for name, value in sums.items()], F.count_if(_of_type("debit")).alias("_debits"), _rows().alias("_rows")
+    )
+    placed = small.join(accounts.select("account_key", "region", "account_type"), "account_key", "left")
+    sets = [[F.col(name) for name in CUBE_COLUMNS if name in chosen] for chosen in CUBE_SETS.values()]
+    cube = placed.groupingSets(sets, *CUBE_COLUMNS).agg(
+        F.grouping_id(*CUBE_COLUMNS).alias("_set"),
+        *[money.cents(F.sum(f"_{name}")).alias(f"total_{name}") for name in sums],
+        F.sum("_debits").alias("debit_count"),
+        F.sum("_rows").alias("transaction_count"),
+    )
+    report = F.lit(None).cast("string")
+    for name, chosen in CUBE_SETS.items():
+        number = sum(1 << place for place, column in enumerate(reversed(CUBE_COLUMNS)) if column not in chosen)
+        report = F.when(F.col("_set") == number, name).otherwise(report)
+    return cube.select(report.alias("report"), *CUBE_COLUMNS, *[f"total_{name}" for name in sums], "debit_count", "transaction_count")
+
+
 def status_breakdown(facts: DataFrame) -> DataFrame:
     """Transactions per status, most frequent first."""
     return (
@@ -147,6 +218,12 @@ def clean_data_pct(raw: DataFrame, clean: DataFrame) -> DataFrame:
     return clean.agg(money.share(_rows(), raw_rows, 2).alias("clean_data_pct"))
 
 
+def clean_share(labelled: DataFrame) -> DataFrame:
+    """``clean_data_pct`` from one pass over labelled rows."""
+    counts = labelled.agg(*[count.alias(name) for name, count in rules.split_counts().items()])
+    return counts.select(money.share(F.col("clean_rows"), F.col("bronze_rows"), 2).alias("clean_data_pct"))
+
+
 def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
     """Row count of each named table: raw = accepted + rejected, and accepted = fact."""
     counts = [

@@ -12,7 +12,7 @@ from tallyloom.plans import marts, silver
 from tallyloom.plans.star import star
 from tallyloom.schemas import CORRUPT
 from tallyloom.sources.csv import ingest
-from tallyloom.sources.tables import CLEANED, MODELLED, RAW, Layers
+from tallyloom.sources.tables import CLEANED, MODELLED, RAW, Layers, View
 
 LABELLED = "transactions_labelled"
 
@@ -27,43 +27,42 @@ def build_cleaned(layers: Layers, settings: Settings) -> dict[str, int]:
     layers.create(CLEANED)
     labelled = silver.label(layers.read(RAW, "transactions"), layers.read(RAW, "accounts"), settings)
     rejected = F.col(rules.REASON).isNotNull()
-    stored = labelled.withColumns({"_quarantined_at": F.when(rejected, F.current_timestamp()), "_rejected": rejected})
-    counts = layers.write_observed(CLEANED, LABELLED, stored, rules.split_counts(), partition_by=["_rejected"])
+    split = labelled.withColumns({"_quarantined_at": F.when(rejected, F.current_timestamp()), "_rejected": rejected})
+    version = layers.new_version()
+    stored = layers.stage(CLEANED, LABELLED, split, version, rules.split_counts(), partition_by=["_rejected"])
     kept = [name for name in labelled.columns if name not in (*rules.HELPERS, CORRUPT)]
-    layers.define_view(CLEANED, "transactions", LABELLED, kept, "NOT _rejected")
-    layers.define_view(
-        CLEANED, "transactions_quarantine", LABELLED, [*labelled.columns, "_quarantined_at"], "_rejected"
-    )
-    return counts
+    views = {
+        "transactions": View(stored, kept, "NOT _rejected"),
+        "transactions_quarantine": View(stored, [*labelled.columns, "_quarantined_at"], "_rejected"),
+    }
+    layers.publish(CLEANED, version, views)
+    return stored.counts
 
 
 def build_modelled(layers: Layers, settings: Settings) -> dict[str, int]:
-    """Build and store the star; raises before the fact is published if a key is amiss.
+    """Build and store the star; raises before any of its tables is published if a key is amiss.
 
-    The fact is computed once: written beside the published one, audited there, then named.
+    All four tables are computed once, written beside the published ones and audited there.
+    Then all are published with one row, so readers find the old star or the new one, whole.
     """
     layers.create(MODELLED)
-    raw_accounts = layers.read(RAW, "accounts")
-    frames = star(layers.spark, layers.read(CLEANED, "transactions"), raw_accounts, settings)
+    frames = star(layers.spark, layers.read(CLEANED, "transactions"), layers.read(RAW, "accounts"), settings)
     guards.require_zero(
         guards.null_counts(frames.accounts, "account_id", "account_key"), "accounts without a key"
     )
-    counts = {
-        "dim_date": layers.write(MODELLED, "dim_date", frames.dates),
-        "dim_accounts": layers.write(MODELLED, "dim_accounts", frames.accounts),
-        "dim_category": layers.write(MODELLED, "dim_category", frames.categories),
-    }
+    version = layers.new_version()
     # Sorted files let a reader skip what lies outside its days; no shuffle is needed for that.
-    staged, rows = layers.stage(MODELLED, "fct_transactions", frames.facts.sortWithinPartitions("date_key"))
-    audit = fact_operators.fk_audit(
-        layers.read(MODELLED, staged),
-        layers.read(MODELLED, "dim_accounts"),
-        layers.read(MODELLED, "dim_date"),
-        layers.read(MODELLED, "dim_category"),
-    )
+    tables = {
+        "dim_date": frames.dates,
+        "dim_accounts": frames.accounts,
+        "dim_category": frames.categories,
+        "fct_transactions": frames.facts.sortWithinPartitions("date_key"),
+    }
+    staged = {name: layers.stage(MODELLED, name, rows, version) for name, rows in tables.items()}
+    audit = fact_operators.fk_audit(*(staged[name].rows for name in ("fct_transactions", "dim_accounts", "dim_date", "dim_category")))
     guards.require_zero(audit, "fact rows without a dimension row")
-    layers.publish(MODELLED, staged, "fct_transactions")
-    return counts | {"fct_transactions": rows}
+    layers.publish(MODELLED, version, {name: View(rows) for name, rows in staged.items()})
+    return {name: rows.counts["rows"] for name, rows in staged.items()}
 
 
 def run(layers: Layers, landing: str, settings: Settings) -> dict[str, int]:

@@ -37,15 +37,17 @@ def label(raw: DataFrame, accounts: DataFrame, settings: Settings) -> DataFrame:
     """Every raw row, cleaned and with its rejection reason, or NULL if accepted.
 
     The same lazy plan at every size: no job starts here and nothing is written. The account
-    check and the ranking both cut what belongs to one account or one key into parts.
+    check and the ranking both cut what belongs to one account or one key into parts. Rows of
+    earlier parts of a key are counted from the cleaned key columns, so accounts are met once.
     """
     cleaned = clean_columns(raw, settings)
     tests = rules.row_rules(settings, CORRUPT in cleaned.columns)
     keys = list(settings.business_key)
     checked = references.flag_orphans(cleaned, accounts, "account_id")
+    counted = cleaned
     if settings.dedup_after_validation:
         keys.append("_valid")
-        checked = checked.withColumn("_valid", rules.first_reason(tests).isNull())
-    ranked = dedup.dedup_rank(checked, keys)
+        counted = checked = checked.withColumn("_valid", rules.first_reason(tests).isNull())
+    ranked = dedup.dedup_rank(checked, keys, counted=counted)
     reason = rules.first_reason([*tests, rules.duplicate_rule()])
     return ranked.select(*cleaned.columns, dedup.RANK, references.ORPHAN, reason.alias(rules.REASON))

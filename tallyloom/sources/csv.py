@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom import schemas
-from tallyloom.sources.tables import RAW, Layers
+from tallyloom.sources.tables import RAW, Layers, View
 
 
 @dataclass(frozen=True)
@@ -62,8 +62,9 @@ def write_csv(rows: DataFrame, landing: str, source: CsvSource, mode: str = "ove
 
 
 def ingest(layers: Layers, landing: str, sources: Mapping[str, CsvSource] = SOURCES) -> dict[str, int]:
-    """Overwrite each raw table with its file; returns the rows written per table."""
+    """Replace the raw tables by their files, all at once; returns the rows written per table."""
     layers.create(RAW)
-    return {
-        table: layers.write(RAW, table, read_csv(layers.spark, landing, source)) for table, source in sources.items()
-    }
+    version = layers.new_version()
+    staged = {table: layers.stage(RAW, table, read_csv(layers.spark, landing, source), version) for table, source in sources.items()}
+    layers.publish(RAW, version, {table: View(rows) for table, rows in staged.items()})
+    return {table: rows.counts["rows"] for table, rows in staged.items()}

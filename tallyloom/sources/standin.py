@@ -116,6 +116,49 @@ def accounts_file(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# The account that holds a third of the rows where a busy one is wanted, and the days of its yearly snapshots.
+BUSY_ACCOUNT = 3
+SNAPSHOT_DAYS = (date(1995, 6, 1), date(1997, 1, 15), date(1999, 3, 31))
+
+
+def busy(transactions: DataFrame) -> DataFrame:
+    """The same transactions, every third of them moved to one account."""
+    return transactions.withColumn("account_id", F.when(F.col("transaction_id") % 3 == 0, F.lit(BUSY_ACCOUNT)).otherwise(F.col("account_id")))
+
+
+def account_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """Dated states of all accounts: some open after the first snapshot, some move, some move and return."""
+    k, n = F.col("account_id"), F.col("n")
+    day = F.element_at(F.array(*map(F.lit, SNAPSHOT_DAYS)), n + 1)
+    region = F.when((k % 10 == 3) & (n >= 1), "EUROPE").when((k % 10 == 4) & (n == 1), "ASIA").otherwise(F.upper("region"))
+    taken = accounts_file(spark, folder).withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(len(SNAPSHOT_DAYS) - 1))))
+    taken = taken.filter((k % 7 != 5) | (n > 0))
+    return taken.select("account_id", F.upper("account_type").alias("account_type"), region.alias("region"), day.alias("snapshot_date"))
+
+
+def account_feed(spark: SparkSession, folder: str, number: int) -> DataFrame:
+    """States of accounts with a version. Feed 0 has all at version 1, later ones what changed since.
+
+    Feed 1 renames accounts, opens new ones and brings stale states; feed 2 changes some of the
+    same twice, opens a few again and sends what feed 1 had sent.
+    """
+    k = F.col("account_id")
+    base = accounts_file(spark, folder).select("account_id", F.trim("customer_name").alias("customer_name"), F.upper("account_type").alias("account_type"), F.upper("region").alias("region"))
+
+    def state(rows: DataFrame, version: int, label: str | None = None) -> DataFrame:
+        name = F.concat(F.col("customer_name"), F.lit(f" {label}")) if label else F.col("customer_name")
+        return rows.withColumns({"customer_name": name, "version": F.lit(version).cast("long")})
+
+    opened = base.filter(k % 50 == 7).withColumn("account_id", k + 10_000_000)
+    first = state(base.filter(k % 10 == 3), 2, "renamed").union(state(opened, 1)).union(state(base.filter(k % 10 == 6), 0, "stale"))
+    if number == 0:
+        return state(base, 1)
+    if number == 1:
+        return first
+    again = state(base.filter(k % 20 == 3), 3, "twice").union(state(base.filter(k % 20 == 3), 4, "thrice"))
+    return again.union(state(opened.filter(k % 100 == 7), 5, "kept")).union(first)
+
+
 def budget_file(spark: SparkSession, settings: Settings = SETTINGS) -> DataFrame:
     """Raw monthly budget of each spending category in the trend years."""
     years, lines = settings.trend_years, len(BUDGETED)

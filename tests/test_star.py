@@ -14,7 +14,7 @@ from tallyloom.operators.dimensions import account_dim, category_dim, date_dim
 from tallyloom.plans import marts, medallion
 from tallyloom.sources import csv, standin
 from tallyloom.sources.standin import SETTINGS
-from tallyloom.sources.tables import CLEANED, MODELLED, RAW, Layers
+from tallyloom.sources.tables import CLEANED, MODELLED, RAW, Layers, View
 from twins import duck_rows, spark_rows
 
 import oracles
@@ -249,19 +249,77 @@ def test_sql_over_the_stored_names(spark, stored):
 def test_views_prune_to_their_partition(spark, stored):
     layers, _ = stored
     plan = layers.read(CLEANED, "transactions").select("amount")._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(_rejected" in plan
+    filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "isnotnull(_rejected" in filters and "_version" in filters
     assert "ReadSchema: struct<amount:double>" in plan
 
 
-def test_orphan_facts_stop_the_load_before_the_fact_is_written(spark, landing):
-    layers = Layers(spark)
+def star_content(layers):
+    """All rows of all four tables, without the time of the run."""
+    tables = ("dim_date", "dim_accounts", "dim_category", "fct_transactions")
+    return {name: sorted(map(str, layers.read(MODELLED, name).drop("_ingested_at").collect())) for name in tables}
+
+
+SHORT = dataclasses.replace(SETTINGS, spine_end=date(1999, 12, 31))
+LONGER = dataclasses.replace(SETTINGS, spine_end=date(2002, 12, 31))
+
+
+def test_orphan_facts_stop_the_load_and_leave_the_whole_old_star(spark, landing):
+    layers = Layers(spark, prefix="audit_")
     medallion.run(layers, landing, SETTINGS)
-    before = layers.read(MODELLED, "fct_transactions").count()
-    short = dataclasses.replace(SETTINGS, spine_end=date(1999, 12, 31))
+    before = star_content(layers)
     with pytest.raises(ValueError, match="orphaned_dates"):
-        medallion.build_modelled(layers, short)
-    assert layers.read(MODELLED, "fct_transactions").count() == before
+        medallion.build_modelled(layers, SHORT)
+    assert star_content(layers) == before
+    layers.drop(RAW, CLEANED, MODELLED)
+
+
+def test_a_run_that_dies_leaves_the_whole_old_star_or_the_whole_new_one(spark, landing, monkeypatch):
+    layers = Layers(spark, prefix="dying_")
+    medallion.run(layers, landing, SETTINGS)
+    before = star_content(layers)
+    places = ("stage", "publish", "_define", "_commit", "_remove_old")
+    for place in places:
+        for calls in range(4 if place in ("stage", "_define") else 1):
+            left, real = [calls], getattr(Layers, place)
+
+            def dying(self, *args, left=left, real=real, **more):
+                if not left[0]:
+                    raise RuntimeError("killed")
+                left[0] -= 1
+                return real(self, *args, **more)
+
+            with monkeypatch.context() as patch:
+                patch.setattr(Layers, place, dying)
+                with pytest.raises(RuntimeError, match="killed"):
+                    medallion.build_modelled(layers, LONGER)
+            if place == "_remove_old":  # the new star was published before
+                assert len(star_content(layers)["dim_date"]) == 2922
+            else:
+                assert star_content(layers) == before
     medallion.build_modelled(layers, SETTINGS)
+    assert star_content(layers) == before
+    layers.drop(RAW, CLEANED, MODELLED)
+
+
+def test_old_versions_go_but_the_last_two(spark, tmp_path):
+    for layers in (Layers(spark, prefix="old_"), Layers(spark, location=str(tmp_path / "lake"), prefix="old_lake_")):
+        layers.create("layer")
+        for n in range(1, 5):
+            version = layers.new_version()
+            staged = layers.stage("layer", "numbers", spark.range(n), version)
+            assert layers.spark.catalog.tableExists(layers.name("layer", "shown")) == (n > 1)
+            layers.publish("layer", version, {"shown": View(staged)})
+            assert layers.read("layer", "shown").count() == n
+        stored = layers.read("layer", staged.table)
+        assert stored.select("_version").distinct().count() == 2 and stored.count() == 3 + 4
+        wide = layers.new_version()
+        other = layers.stage("layer", "numbers", spark.range(2).selectExpr("id", "id as more"), wide)
+        layers.publish("layer", wide, {"shown": View(other)})
+        assert layers.read("layer", "shown").columns == ["id", "more"]
+        layers.drop("layer")
+    folders = [p.name for p in (tmp_path / "lake" / "layer" / staged.table).iterdir() if p.is_dir()]
+    assert len(folders) == 2
 
 
 def test_tables_can_live_in_a_folder(spark, tmp_path):
@@ -279,19 +337,18 @@ def test_header_that_differs_is_an_error(spark, tmp_path):
 
 
 def test_run_into_a_folder_and_again(spark, landing, tmp_path):
-    for table in ("transactions", "accounts", "budget"):
-        spark.sql(f"drop table if exists bronze.{table}")
     lake = tmp_path / "lake"
-    layers = Layers(spark, location=str(lake))
+    layers = Layers(spark, location=str(lake), prefix="lake_")
     first = medallion.run(layers, landing, SETTINGS)
     assert medallion.run(layers, landing, SETTINGS) == first
-    parts = sorted(path.name for path in (lake / "silver" / medallion.LABELLED).iterdir() if path.is_dir())
-    assert parts == ["_rejected=false", "_rejected=true"]
+    stored = [path for path in (lake / "silver").iterdir() if path.name.startswith(medallion.LABELLED)]
+    versions = sorted(path for path in stored[0].iterdir() if path.is_dir())
+    assert len(stored) == 1 and len(versions) == 2
+    assert sorted(path.name for path in versions[-1].iterdir() if path.is_dir()) == ["_rejected=false", "_rejected=true"]
     assert layers.read(CLEANED, "transactions").count() == 1258
     assert layers.read(MODELLED, "fct_transactions").count() == 1258
-    versions = sorted(path.name for path in (lake / "gold").iterdir() if path.name.startswith("fct_"))
-    assert versions == ["fct_transactions-a", "fct_transactions-b"]
-    assert spark.read.parquet(str(lake / "gold" / "fct_transactions-b")).count() == 1258
+    facts_stored = [path for path in (lake / "gold").iterdir() if path.name.startswith("fct_")]
+    assert len(facts_stored) == 1 and spark.read.parquet(str(facts_stored[0])).count() == 2 * 1258
 
 
 def test_year_filter_reaches_the_stored_fact(spark, landing, tmp_path):
