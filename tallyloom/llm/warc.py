@@ -9,15 +9,15 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
-from contextlib import suppress
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.llm import ranges
 from tallyloom.llm.common import stored
+from tallyloom.llm.files import attempt, publish, store, written
 
 # Fixed values of the format.
 VERSION = b"WARC/1.1"
@@ -25,6 +25,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 DATE = "2024-01-01T00:00:00Z"  # a run writes the same bytes each time, so the date is a parameter, not the clock
 CHUNK = 1 << 16
 LEVEL = 6
+RECORD_BYTES = 600  # of headers, about; counts in the size of a range
 
 
 def verdicts(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
@@ -91,16 +92,11 @@ def compressed(data: bytes) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
-def _store(folder: str) -> tuple[pa.fs.FileSystem, str]:
-    """The store that holds a folder (local, HDFS or object store) and the path inside it."""
-    return pa.fs.FileSystem.from_uri(folder if ":/" in folder else f"file://{folder}")
-
-
 class _Files:
     """Files of one shard: written under temporary names, renamed when complete."""
 
     def __init__(self, folder: str, shard: int, attempt: str, roll_bytes: int) -> None:
-        self.fs, self.folder = _store(folder)
+        self.fs, self.folder = store(folder)
         self.shard, self.attempt, self.roll_bytes = shard, attempt, roll_bytes
         self.done: list[dict] = []
         self.out = None
@@ -121,7 +117,7 @@ class _Files:
             return
         self.out.close()
         name = f"part-{self.shard:05d}-{len(self.done):05d}.warc.gz"
-        _publish(self.fs, self.temporary, f"{self.folder}/{name}")
+        publish(self.fs, self.temporary, f"{self.folder}/{name}")
         self.done.append({"file": name, "bytes": self.size, "records": self.records, "sha256": self.sha.hexdigest()})
         self.out = None
 
@@ -131,75 +127,75 @@ class _Files:
         temporary = f"{self.folder}/_temporary-manifest-{self.shard:05d}-{self.attempt}"
         with self.fs.open_output_stream(temporary) as out:
             out.write(json.dumps({"shard": self.shard, "files": self.done}).encode())
-        _publish(self.fs, temporary, f"{self.folder}/manifest-{self.shard:05d}.json")
-
-
-def _publish(fs: pa.fs.FileSystem, temporary: str, final: str) -> None:
-    """Give a finished file its name. An earlier attempt that got there first wrote the same bytes."""
-    try:
-        fs.move(temporary, final)
-    except OSError:
-        if fs.get_file_info(final).type != pa.fs.FileType.File:
-            raise
-        with suppress(OSError):
-            fs.delete_file(temporary)
+        publish(self.fs, temporary, f"{self.folder}/manifest-{self.shard:05d}.json")
 
 
 def write(pages: DataFrame, folder: str, shards: int, least_bytes: int = 1000, roll_bytes: int = 64 << 20, date: str = DATE) -> dict:
     """Archive pages (page_id, url, html) under ``folder``; returns the committed totals.
 
-    Rows are range-sorted by page_id over ``shards`` tasks; equal input and settings give equal
-    files. Each task writes its records in order and starts a new file before the compressed
-    size passes ``roll_bytes``. Files and shard manifests get their names by renaming, so a
-    lost executor or a second attempt leaves nothing half-written under a final name; readers
-    follow ``_MANIFEST.json`` alone, which the driver writes last.
+    Rows are range-sorted by page_id over at most ``shards`` tasks; equal input and settings give
+    equal files, as the ranges follow from exact sums of payload bytes and not from a sample. Their
+    first keys are in the manifest. Each task writes its records in order and starts a new file
+    before the compressed size passes ``roll_bytes``. Files and shard manifests get their names by
+    renaming, so a lost executor or a second attempt leaves nothing half-written under a final name;
+    readers follow ``_MANIFEST.json`` alone, which the driver writes last. Temporary files that
+    failed attempts left are removed then.
 
     Null payloads are empty, null addresses get a ``urn:page:`` address, null ids no id header;
     repeated rows give repeated records; other columns are ignored; an empty table gives an
     archive without records. Revisit verdicts travel through the same sort as their pages, as
-    narrow rows before them, so payloads are shuffled once.
+    narrow rows before them, so payloads are shuffled once. All rows of one page_id share a file's
+    task.
     """
     spark = pages.sparkSession
     ready = prepared(pages)
-    told = stored(verdicts(ready.select("page_id", "digest", "payload_bytes"), least_bytes), "verdicts")
-    columns = ["page_id", "digest", "page", "url", "payload", "refers_to"]
+    sizes = stored(ready.select("page_id", "digest", "payload_bytes"), "payloads")
+    told = stored(verdicts(sizes, least_bytes), "verdicts")
+    chosen = ranges.cuts(sizes, "page_id", F.col("payload_bytes") + RECORD_BYTES, shards)
     heavy = ready.select("page_id", "digest", F.lit(1).alias("page"), "url", "payload", F.lit(None).cast("long").alias("refers_to"))
     narrow = told.select("page_id", "digest", F.lit(0).alias("page"), F.lit(None).cast("string").alias("url"),
                          F.lit(None).cast("binary").alias("payload"), "refers_to")
-    order = ["page_id", "digest", "page", "url"]
-    rows = heavy.union(narrow).select(*columns).repartitionByRange(shards, "page_id", "digest").sortWithinPartitions(*order)
+    rows = ranges.by_shard(heavy.union(narrow), "page_id", chosen, ["page_id", "digest", "page", "url"])
 
     def archive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get()
-        files = _Files(folder, task.partitionId(), f"{task.attemptNumber()}-{uuid.uuid4().hex[:8]}", roll_bytes)
-        told_of, refers_to, records = None, None, 0
+        mark, files, told_of, refers_to = attempt(), None, None, None
+        done: list[_Files] = []
         for batch in batches:
-            for page_id, digest, page, url, payload, refers in zip(*(column.to_pylist() for column in batch.columns)):
+            for page_id, digest, page, url, payload, refers, shard in zip(*(column.to_pylist() for column in batch.columns)):
+                if files is None or files.shard != shard:
+                    if files:
+                        files.commit()
+                    files = _Files(folder, shard, mark, roll_bytes)
+                    done.append(files)
                 if not page:
                     told_of, refers_to = (page_id, digest), refers
                     continue
                 own = refers_to if told_of == (page_id, digest) else None
                 files.write(compressed(record(page_id, url, payload, digest, own, date)))
-                records += 1
-        files.commit()
-        yield pa.RecordBatch.from_pydict({"shard": [task.partitionId()], "records": [records], "files": [len(files.done)]},
+        if files:
+            files.commit()
+        columns = [[f.shard for f in done], [sum(one["records"] for one in f.done) for f in done], [len(f.done) for f in done]]
+        yield pa.RecordBatch.from_pydict(dict(zip(("shard", "records", "files"), columns)),
                                          schema=pa.schema([("shard", pa.int32()), ("records", pa.int64()), ("files", pa.int32())]))
 
-    fs, path = _store(folder)
+    fs, path = store(folder)
     fs.create_dir(path, recursive=True)
-    written = rows.mapInArrow(archive, "shard int, records long, files int")
-    totals = written.agg(F.max("shard"), F.sum("records"), F.sum("files")).first()
-    manifest = {"shards": 0 if totals[0] is None else totals[0] + 1, "records": totals[1] or 0, "files": totals[2] or 0}
-    with fs.open_output_stream(f"{path}/_temporary-MANIFEST") as out:
+    written_rows = rows.select("page_id", "digest", "page", "url", "payload", "refers_to", "shard").mapInArrow(archive, "shard int, records long, files int")
+    totals = written_rows.agg(F.max("shard"), F.sum("records"), F.sum("files")).first()
+    manifest = {"shards": 0 if totals[0] is None else totals[0] + 1, "records": totals[1] or 0, "files": totals[2] or 0, "cuts": chosen}
+    for left in fs.get_file_info(pa.fs.FileSelector(path)):
+        if left.base_name.startswith("_temporary"):
+            fs.delete_file(left.path)
+    with written(fs, f"{path}/_MANIFEST.json") as out:
         out.write(json.dumps(manifest).encode())
-    _publish(fs, f"{path}/_temporary-MANIFEST", f"{path}/_MANIFEST.json")
     return manifest
 
 
-def _members(stream) -> Iterator[bytes]:
-    """The unpacked gzip members of a file, one record each, read in small pieces."""
+def _members(stream, sha) -> Iterator[bytes]:
+    """The unpacked gzip members of a file, one record each, read in small pieces; ``sha`` takes in the file's bytes."""
     unpacker, held = zlib.decompressobj(31), io.BytesIO()
     while data := stream.read(CHUNK):
+        sha.update(data)
         while data:
             held.write(unpacker.decompress(data))
             data = b""
@@ -241,34 +237,34 @@ FIELDS = pa.schema([
 
 
 def read(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFrame:
-    """The records of a committed archive; every file is checked against its manifest, every record against its digests."""
-    fs, path = _store(folder)
+    """The records of a committed archive; every file is checked against its manifest (bytes, records, SHA-256), every record against its digests."""
+    fs, path = store(folder)
     with fs.open_input_stream(f"{path}/_MANIFEST.json") as source:
         shards = json.loads(source.read())["shards"]
     wanted = FIELDS if with_payload else FIELDS.remove(FIELDS.get_field_index("payload"))
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = _store(folder)
+        files, root = store(folder)
         for batch in batches:
             for shard in batch.column(0).to_pylist():
-                with store.open_input_stream(f"{root}/manifest-{shard:05d}.json") as source:
-                    files = json.loads(source.read())["files"]
-                for listed in files:
-                    yield from records(store, f"{root}/{listed['file']}", listed)
+                with files.open_input_stream(f"{root}/manifest-{shard:05d}.json") as source:
+                    parts = json.loads(source.read())["files"]
+                for listed in parts:
+                    yield from records(files, f"{root}/{listed['file']}", listed)
 
-    def records(store: pa.fs.FileSystem, name: str, listed: dict) -> Iterator[pa.RecordBatch]:
-        held, size, count, info = [], 0, 0, store.get_file_info(name)
+    def records(files: pa.fs.FileSystem, name: str, listed: dict) -> Iterator[pa.RecordBatch]:
+        held, size, count, info, sha = [], 0, 0, files.get_file_info(name), hashlib.sha256()
         if info.size != listed["bytes"]:
             raise ValueError(f"{name} has {info.size} bytes, its manifest says {listed['bytes']}")
-        with store.open_input_stream(name, compression=None) as stream:
-            for member in _members(stream):
+        with files.open_input_stream(name, compression=None) as stream:
+            for member in _members(stream, sha):
                 held.append(parse(member))
                 size, count = size + len(member), count + 1
                 if size > 4 << 20:
                     yield pa.RecordBatch.from_pylist(held, schema=wanted)
                     held, size = [], 0
-        if count != listed["records"]:
-            raise ValueError(f"{name} has {count} records, its manifest says {listed['records']}")
+        if (count, sha.hexdigest()) != (listed["records"], listed["sha256"]):
+            raise ValueError(f"{name} is not the file that its manifest lists")
         if held:
             yield pa.RecordBatch.from_pylist(held, schema=wanted)
 
