@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,9 +54,8 @@ class KeyedTable:
         whole = F.lit(True)
         for name in (*self.keys, self.version):
             whole = whole & F.col(name).isNotNull()
-        seen = Observation()
-        named = changes.select(*self.schema.names).observe(seen, F.count_if(~whole).alias("unnamed")).filter(whole)
-        newest = named.groupBy(*self.keys).agg(F.max(F.struct(self.version, *others)).alias("new"))
+        held = changes.select(*self.schema.names).persist()
+        newest = held.filter(whole).groupBy(*self.keys).agg(F.max(F.struct(self.version, *others)).alias("new"))
         newest = newest.withColumn(BUCKET, self._bucket()).persist()
         scratch = f"{shared_folder(self.spark)}/merge-{uuid.uuid4().hex}"
         try:
@@ -70,15 +69,17 @@ class KeyedTable:
             )
             row = F.when(F.col(OUTCOME).isin("inserted", "updated"), F.col("new")).otherwise(F.col("old"))
             merged = both.withColumn(OUTCOME, outcome).withColumn("row", row)
-            counts = Observation()
-            metrics = [F.count_if(F.col(OUTCOME) == name).alias(name) for name in ("inserted", "updated", "stale")]
             flat = merged.select(*self.keys, BUCKET, OUTCOME, *[F.col(f"row.{name}").alias(name) for name in (self.version, *others)])
-            flat.observe(counts, *metrics).write.partitionBy(BUCKET).parquet(scratch)
+            flat.write.partitionBy(BUCKET).parquet(scratch)
+            unnamed = held.filter(~whole).count()
         finally:
             newest.unpersist()
+            held.unpersist()
         staged = self.spark.read.schema(T.StructType([*self.schema, T.StructField(OUTCOME, T.StringType()), T.StructField(BUCKET, T.IntegerType())])).parquet(scratch)
-        gaining = [r[0] for r in staged.filter(F.col(OUTCOME).isin("inserted", "updated")).select(BUCKET).distinct().collect()]
+        figures = staged.groupBy(BUCKET, OUTCOME).count().collect()  # at most four rows for each bucket
+        gaining = sorted({r[BUCKET] for r in figures if r[OUTCOME] in ("inserted", "updated")})
         if gaining:
             next_state = staged.filter(F.col(BUCKET).isin(gaining)).select(*self.schema.names, BUCKET).repartition(BUCKET)
             next_state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.folder)
-        return {**counts.get, **seen.get, "buckets_read": len(touched), "buckets_written": len(gaining)}
+        counts = {name: sum(r["count"] for r in figures if r[OUTCOME] == name) for name in ("inserted", "updated", "stale")}
+        return {**counts, "unnamed": unnamed, "buckets_read": len(touched), "buckets_written": len(gaining)}

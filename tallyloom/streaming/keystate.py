@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,9 +69,9 @@ def settle_lot(lot: DataFrame, state: KeyState, number: int) -> dict[str, int]:
     try:
         # As many values as the lot has months, times the hashes of one.
         buckets = [row[0] for row in placed.filter("_valid").select(BUCKET).distinct().collect()]
-        reads, writes = Observation(), Observation()
-        known = state.accepted(spark, lot.schema, number, buckets).observe(reads, F.count(F.lit(1)).alias("keys"))
-        known = known.select(*[F.col(name).alias(f"{HELD}_{name}") for name in state.keys], F.col(BUCKET).alias(HELD))
+        held = state.accepted(spark, lot.schema, number, buckets)
+        keys_read = held.count()  # of the files' footers
+        known = held.select(*[F.col(name).alias(f"{HELD}_{name}") for name in state.keys], F.col(BUCKET).alias(HELD))
         ranked = dedup.dedup_rank(placed, [*state.keys, "_valid"], newest=False, counted=placed)
         same = F.col(BUCKET) == F.col(HELD)  # NULL for rows that break a rule, so these meet nothing
         for name in state.keys:
@@ -79,15 +79,14 @@ def settle_lot(lot: DataFrame, state: KeyState, number: int) -> dict[str, int]:
         repeated = (F.col(dedup.RANK) > 1) | F.col(HELD).isNotNull()
         reason = F.coalesce(F.col(rules.REASON), F.when(repeated, F.lit("DUPLICATE")))
         settled = ranked.join(known, same, "left").withColumn(rules.REASON, reason).select(*lot.columns, BUCKET)
-        metrics = {"rows": F.count(F.lit(1)), "accepted": F.count_if(F.col(rules.REASON).isNull())}
-        settled = settled.observe(writes, *[metric.alias(name) for name, metric in metrics.items()])
         settled.drop(BUCKET).write.mode("overwrite").parquet(f"{state.folder}/rows/{LOT}={number}")
     finally:
         placed.unpersist()
-    fresh = spark.read.schema(lot.schema).parquet(f"{state.folder}/rows/{LOT}={number}").filter(valid)
-    fresh = fresh.select(*state.keys, state.bucket().alias(BUCKET)).repartition(BUCKET)
+    stored = spark.read.schema(lot.schema).parquet(f"{state.folder}/rows/{LOT}={number}")
+    fresh = stored.filter(valid).select(*state.keys, state.bucket().alias(BUCKET)).repartition(BUCKET)
     fresh.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{state.folder}/keys/{LOT}={number}")
-    figures = {**writes.get, "buckets": len(buckets), "keys_read": reads.get["keys"] if number and buckets else 0}
+    rows, accepted = stored.agg(F.count(F.lit(1)), F.count_if(valid)).first()
+    figures = {"rows": rows, "accepted": accepted, "buckets": len(buckets), "keys_read": keys_read}
     run = spark.createDataFrame([tuple(figures.values())], ", ".join(f"{name} long" for name in figures))
     run.write.mode("overwrite").parquet(f"{state.folder}/runs/{LOT}={number}")
     return figures
