@@ -9,19 +9,20 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.bpe import groups_of
 from tallyloom.llm.common import stored
 from tallyloom.llm.library import PARTS_AT_ONCE, library
-from tallyloom.llm.words import CUT, Words, plain
+from tallyloom.llm.words import CUT, Words, joined, plain
 
 CHUNK_BYTES = 1 << 16  # a longer text is aligned in chunks of this size, by many tasks
 FAN = 8  # fragments that one step of the reduction composes
-TEXT_AT_ONCE = 1 << 20
+TEXT_AT_ONCE = 4 << 20
 MOST_PAIRS = 4_000_000  # counted pairs that may be broadcast (12 bytes each); beyond, rows are joined by pair
-KEPT_BYTES = 256 << 20  # of aligned parts that a worker remembers
+KEPT_BYTES = 192 << 20  # of aligned parts that a worker remembers
 
 
 class Pieces:
@@ -153,6 +154,10 @@ class Aligner:
         return self.closed(whole.lead) + whole.closed
 
 
+def _weight(value: Closed | bytes) -> int:
+    return 300 + len(value.groups) + len(value.links) if value else 50
+
+
 class Pair(Words):
     """Two tokenizers: A encodes a space and the text, B, which adds the space itself, the text.
 
@@ -161,10 +166,12 @@ class Pair(Words):
     product of the fragments of its parts, and parts met before are not encoded again.
     """
 
+    firsts_differ, before = False, ""
+
     def __init__(self, a_path: str, b_path: str, kept_bytes: int = KEPT_BYTES) -> None:
         self.a, self.b = library(a_path), Pieces(b_path)
         self.aligner = Aligner(len(self.a.tokens), len(self.b.tokens))
-        super().__init__(self.small_texts, kept_bytes)
+        super().__init__(lambda texts: [one or MISSING for one in self.small_texts(texts)], kept_bytes, _weight)
 
     def tokens(self, text: str) -> Open | None:
         """Both kinds of tokens of a text, or None if either does not spell it."""
@@ -180,9 +187,9 @@ class Pair(Words):
     def small_texts(self, texts: list[str]) -> list[Closed | None]:
         """Each as a text of its own; those between spaces as one long string, taken apart again."""
         made: dict[int, Closed | None] = {}
-        joined = [k for k, text in enumerate(texts) if plain(text)] if self.b.separable else []
-        for at in range(0, len(joined), PARTS_AT_ONCE):
-            some = joined[at : at + PARTS_AT_ONCE]
+        between = [k for k, text in enumerate(texts) if plain(text)] if self.b.separable else []
+        for at in range(0, len(between), PARTS_AT_ONCE):
+            some = between[at : at + PARTS_AT_ONCE]
             made.update(zip(some, self._joined([texts[k] for k in some])))
         return [made[k] if k in made else self.whole(text) for k, text in enumerate(texts)]
 
@@ -206,42 +213,37 @@ class Pair(Words):
             for a0, a1, b0, b1, g0, g1, t0, t1, l0, l1 in zip(*(x for one in lists for x in (one[:-1], one[1:])))
         ]
 
-    def _make(self, keys: list[str]) -> list:
-        # Two spaces mark what is not a part between spaces that both tokenizers cut at.
-        usable = [key[:2] == "  " or plain(key) for key in keys]
-        made = iter(self.small_texts([key[2:] if key[:2] == "  " else key for key, good in zip(keys, usable) if good]))
-        return [(next(made) or MISSING) if good else b"" for good in usable]
+    def string(self, key: str) -> str | None:
+        """Two spaces mark what is not a part between spaces that both tokenizers cut at."""
+        return key[2:] if key[:2] == "  " else None
 
-    @staticmethod
-    def _keys(text: str) -> list[str]:
-        first, *others = CUT.split(text)
+    def keys(self, text: str) -> list[str]:
+        first, *others = CUT.split(text) if self.b.separable else [text]
         parts = [first, *(part[1:] for part in others)]
-        return [part if " " not in part and plain(part) else "  " + part for part in parts]
-
-    @staticmethod
-    def _weight(value) -> int:
-        return 300 + len(value.groups) + len(value.links) if value else 50
+        return [part if " " not in part and plain(part) and self.b.separable else "  " + part for part in parts]
 
-    def aligned(self, texts: list[str]) -> list[Closed]:
+    def aligned(self, texts: pa.Array) -> list[Closed]:
         """Of each whole text; nothing for one that either tokenizer does not spell."""
-        lists = [text.split(" ") if self.b.separable else ["  " + text] for text in texts]
-        got = self.kept.values(lists, self._make, self._weight)
-        odd = [k for k, values in enumerate(got) if b"" in values]
-        for k, values in zip(odd, self.kept.values([self._keys(texts[k]) for k in odd], self._make, self._weight)):
-            got[k] = values
-        return [self._product(text, values) for text, values in zip(texts, got)]
-
-    def _product(self, text: str, values: list) -> Closed:
-        if not text:
-            return Closed()
-        if MISSING in values:
-            return self.whole(text) or Closed()
-        if len(values) == 1:
-            return values[0]
-        return Closed(
-            sum([v.n_a for v in values]), sum([v.n_b for v in values]), sum([v.n_groups for v in values]),
-            b";".join([v.groups for v in values]), b"".join([v.links for v in values]),
-        )
+        if not len(texts):
+            return []
+        if not self.b.separable:
+            return [self.whole(text) or Closed() if text else Closed() for text in texts.to_pylist()]
+        values, at, bounds = self.parts(texts)
+        n_a, n_b, n_groups = (np.add.reduceat(np.array(column, dtype=np.int64)[at], bounds[:-1]).tolist()
+                              for column in zip(*((v.n_a, v.n_b, v.n_groups) if v else (0, 0, 0) for v in values)))
+        groups = joined([v.groups + b";" if v else b"" for v in values], at, bounds)
+        links = joined([v.links if v else b"" for v in values], at, bounds)
+        missing = np.logical_or.reduceat(np.array([v is MISSING for v in values])[at], bounds[:-1]).tolist()
+        return [
+            Closed() if text == "" else (self.whole(text) or Closed()) if gone else Closed(a, b, n, text_groups[:-1], text_links)
+            for text, gone, a, b, n, text_groups, text_links in zip(self._named(texts, missing), missing, n_a, n_b, n_groups, groups, links)
+        ]
+
+    @staticmethod
+    def _named(texts: pa.Array, missing: list[bool]) -> Iterator[str | None]:
+        """The texts that are looked at again or empty, others as None."""
+        sizes = pc.binary_length(texts).to_pylist()
+        return (texts[k].as_py() if gone or not size else None for k, (gone, size) in enumerate(zip(missing, sizes)))
 
 
 _PAIRS: dict[tuple[str, str], Pair] = {}
@@ -347,7 +349,7 @@ def align(documents: DataFrame, a_path: str, b_path: str, text: str = "text", ch
         for batch in batches:
             texts = batch.column(1)
             for some in groups_of((len(one.as_buffer()) for one in texts), TEXT_AT_ONCE):
-                wholes = both.aligned(texts[some].to_pylist())
+                wholes = both.aligned(texts[some])
                 rows = [_row(doc_id, whole, both.aligner.kind) for doc_id, whole in zip(batch.column(0)[some].to_pylist(), wholes)]
                 yield pa.RecordBatch.from_pylist(rows, schema=ROW_SCHEMA)
 

@@ -18,7 +18,7 @@ NONE = np.int64(1) << 62
 NEVER = int(NONE)
 WIDEST = 64  # bytes of a piece up to which many pieces are merged side by side
 PIECES_AT_ONCE = 8192
-BYTES_AT_ONCE = 1 << 20  # of text in a batch that a worker hands on
+BYTES_AT_ONCE = 4 << 20  # of text in a batch that a worker hands on
 KEPT_BYTES = 192 << 20  # a worker remembers parts of texts up to this size, and pieces up to a third of it
 
 
@@ -170,9 +170,9 @@ class Encoder:
         split = [self.pattern.findall(part) for part in parts]
         return list(map(b"".join, self.known.values(split, self.pieces)))
 
-    def texts(self, texts: list[str]) -> list[bytes]:
+    def texts(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Packed ids of each text: unsigned 32-bit little-endian numbers."""
-        return list(map(b"".join, self.words.of(texts)))
+        return self.words.of(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
 
 
 def groups_of(sizes: Iterable[int], most: int) -> Iterator[slice]:
@@ -211,13 +211,12 @@ def encode(
         for batch in batches:
             column = batch.column(len(others))
             for rows in groups_of((len(value.as_buffer()) for value in column), BYTES_AT_ONCE):
-                texts = column[rows].to_pylist()
-                packed = encoder.texts(texts)
+                packed = encoder.texts(column[rows])
                 made = [pa.array(packed, pa.binary())]
                 if decoded or intact:
                     back = [encoder.merges.decode(one) for one in packed]
                     made += [pa.array(back, pa.binary())] if decoded else []
-                    made += [pa.array([one == text.encode() for one, text in zip(back, texts)])] if intact else []
+                    made += [pa.array([one == text.as_buffer().to_pybytes() for one, text in zip(back, column[rows])])] if intact else []
                 yield pa.RecordBatch.from_arrays([*(c[rows] for c in batch.columns[: len(others)]), *made], names=target.names)
 
     return rows.mapInArrow(run, target)

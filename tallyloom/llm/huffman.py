@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ LONGEST = 18  # bits of a code at most, unless there are more ids than such code
 BLOCK = 1 << 16  # tokens of a block
 EVERY = 256  # tokens between two checkpoints
 BLOCKS_AT_ONCE = 16
-TEXT_AT_ONCE = 1 << 20
+TEXT_AT_ONCE = 4 << 20
 
 
 def code_lengths(counts: np.ndarray, longest: int = LONGEST) -> np.ndarray:
@@ -74,7 +75,7 @@ class Codebook:
         firsts = np.cumsum(spans) - spans
         self.codes = np.zeros(len(lengths), dtype=np.uint64)
         self.codes[order] = firsts >> (self.width - self.lengths[order])
-        self.table = np.zeros(1 << self.width, dtype=np.int64)  # id << 5 | bits, by the next ``width`` bits
+        self.table = np.zeros(1 << self.width, dtype=np.int32)  # id << 5 | bits, by the next ``width`` bits
         self.table[: int(spans.sum())] = np.repeat(order << 5 | self.lengths[order], spans)
 
     def pack(self, ids: np.ndarray) -> tuple[np.ndarray, bytes]:
@@ -93,14 +94,15 @@ class Codebook:
 
     def unpack(self, bits: bytes, offsets: np.ndarray) -> np.ndarray:
         """``EVERY`` ids from each bit offset on, one row each: all rows take a step at a time."""
-        data = np.frombuffer(bits + bytes(8), dtype=np.uint8).astype(np.int64)
+        data = np.frombuffer(bits + bytes(8), dtype=np.uint8).astype(np.uint32)
         windows = data[:-3] << 24 | data[1:-2] << 16 | data[2:-1] << 8 | data[3:]
-        at, last = offsets.astype(np.int64), 8 * len(bits)
-        out = np.empty((EVERY, len(at)), dtype=np.int64)
+        at, last, rest = offsets.astype(np.int32), np.int32(8 * len(bits)), np.uint32(32 - self.width)
+        out = np.empty((EVERY, len(at)), dtype=np.int32)
         for step in range(EVERY):
-            found = self.table[windows[at >> 3] >> (32 - self.width - (at & 7)) & ((1 << self.width) - 1)]
-            out[step] = found >> 5
-            at = np.minimum(at + (found & 31), last)
+            found = self.table[(windows[at >> 3] << (at & 7).astype(np.uint32)) >> rest]
+            np.right_shift(found, 5, out=out[step])
+            at += found & 31
+            np.minimum(at, last, out=at)
         return out.T
 
 
@@ -194,11 +196,11 @@ def write(documents: DataFrame, folder: str, tokenizer: str, end_id: int, shards
         for batch in batches:
             texts, sizes = batch.column(1), (len(one.as_buffer()) for one in batch.column(1))
             for part in groups_of(sizes, TEXT_AT_ONCE):
-                packed = coder.texts(texts[part].to_pylist())
+                packed = coder.texts(texts[part])
                 for doc_id, one, own in zip(batch.column(0)[part].to_pylist(), packed, batch.column(2)[part].to_pylist()):
                     if own != shard:
                         close()
-                        shard, packer, doc_ids, counts = own, zlib.compressobj(1), [], []
+                        shard, packer, doc_ids, counts = own, zstandard.ZstdCompressor(level=1).compressobj(), [], []
                         stream = written(fs, f"{root}/ids-{shard:05d}")
                         out = stream.__enter__()
                     doc_ids.append(doc_id)
@@ -270,7 +272,7 @@ def _coded(shard: int, book: Codebook, kind: np.dtype, source: tuple, target: tu
 
 def _blocks(fs: pa.fs.FileSystem, path: str, kind: np.dtype) -> Iterator[np.ndarray]:
     """The spooled ids in blocks."""
-    unpacker, held, size = zlib.decompressobj(), b"", BLOCK * kind.itemsize
+    unpacker, held, size = zstandard.ZstdDecompressor().decompressobj(), b"", BLOCK * kind.itemsize
     with fs.open_input_stream(path, compression=None) as source:
         while data := source.read(1 << 18):
             held += unpacker.decompress(data)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import numpy as np
+import pyarrow as pa
 
 from tallyloom.llm.words import Words
 
@@ -25,7 +26,7 @@ class Library:
     end there are encoded as one long string and cut again by the bytes of their tokens.
     """
 
-    def __init__(self, path: str, kept_bytes: int = 192 << 20) -> None:
+    def __init__(self, path: str, kept_bytes: int = 128 << 20) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
         from tokenizers import Tokenizer
 
@@ -44,22 +45,24 @@ class Library:
         return [np.array(one.ids, dtype=self.kind) for one in found]
 
     def strings(self, strings: list[str]) -> list[bytes]:
-        joined = [k for k, one in enumerate(strings) if one[:1] == " " and not one[1:2].isspace() and not one[-1].isspace()]
+        joined = [k for k, one in enumerate(strings) if one[:1] == " " and one.strip() == one[1:] != ""]
         alone = sorted(set(range(len(strings))).difference(joined))
-        packed: dict[int, bytes] = dict(zip(alone, (one.tobytes() for one in self.ids([strings[k] for k in alone]))))
+        packed: list[bytes] = [b""] * len(strings)
+        for k, ids in zip(alone, self.ids([strings[k] for k in alone])):
+            packed[k] = ids.tobytes()
         for at in range(0, len(joined), PARTS_AT_ONCE):
             some = joined[at : at + PARTS_AT_ONCE]
             ids = self.ids(["".join([strings[k] for k in some])])[0]
-            ends = np.cumsum([len(strings[k].encode()) for k in some])
+            ends = np.cumsum(np.fromiter((len(strings[k].encode()) for k in some), np.int64, len(some)))
             cuts = (np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1) * self.kind.itemsize
             held, start = ids.tobytes(), 0
             for k, end in zip(some, cuts.tolist()):
                 packed[k], start = held[start:end], end
-        return [packed[k] for k in range(len(strings))]
+        return packed
 
-    def texts(self, texts: list[str]) -> list[bytes]:
+    def texts(self, texts: pa.Array) -> list[bytes]:
         """Packed ids (little-endian, of ``kind``) of each whole text."""
-        return list(map(b"".join, self.words.of(texts)))
+        return self.words.of(texts)
 
 
 _LIBRARIES: dict[str, Library] = {}

@@ -5,6 +5,10 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 # A space between two visible characters always begins a new piece, so texts can be cut there.
 CUT = re.compile(r"(?<=\S)(?= \S)")
 ENTRY = 200  # bytes of a dictionary entry beside its text and its value
@@ -48,33 +52,70 @@ def plain(part: str) -> bool:
 
 
 class Words:
-    """Encodes texts part by part; parts met before are not encoded again.
+    """Looks texts up part by part; parts met before are not encoded again.
 
-    ``encode`` gives a packed value for each of many strings: never an empty one for a string
-    that is not empty. The values of the parts of a text, in order, make up that of the text.
+    ``encode`` gives a value for each of many strings: never an empty one for a string that is
+    not empty. The values of the parts of a text, in order, make up that of the text. Texts are
+    cut and their parts numbered by Arrow, so Python sees each distinct part of a batch once.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], most_bytes: int = 64 << 20) -> None:
-        self.encode, self.kept = encode, Kept(most_bytes)
+    firsts_differ = True  # a text's first part is no part that follows a space
+    before = " "  # what belongs to a part that follows a space
+
+    def __init__(self, encode: Callable[[list[str]], list], most_bytes: int = 64 << 20, weight: Callable = len) -> None:
+        self.encode, self.kept, self.weight = encode, Kept(most_bytes), weight
 
-    def _make(self, keys: list[str]) -> list[bytes]:
-        # A key is a part without the space before it; one space marks a text's first part, two any other string.
-        strings = [key[2:] if key[:2] == "  " else key[1:] if key[:1] == " " else " " + key for key in keys]
-        usable = [key[:1] == " " or plain(key) for key in keys]
-        made = iter(self.encode([string for string, good in zip(strings, usable) if good]))
-        return [next(made) if good else b"" for good in usable]
+    def string(self, key: str) -> str | None:
+        """What a key stands for. Two spaces mark any string, one a text's first part; other keys are parts without
+        the space before them, and stand for nothing if that space has no visible neighbour."""
+        if key[:2] == "  ":
+            return key[2:]
+        if key[:1] == " ":
+            return key[1:] if len(key) > 1 and not key[-1].isspace() else None
+        return " " + key if plain(key) else None
 
-    @staticmethod
-    def _keys(text: str) -> list[str]:
+    def keys(self, text: str) -> list[str]:
+        """Keys of a text some of whose spaces have no visible neighbour: it is cut at the others."""
         first, *others = CUT.split(text)
         return ["  " + first, *(part[1:] if " " not in part[1:] and plain(part[1:]) else "  " + part for part in others)]
 
-    def of(self, texts: list[str]) -> list[list[bytes]]:
-        lists = [text.split(" ") for text in texts]
-        for keys in lists:
-            keys[0] = " " + keys[0]
-        got = self.kept.values(lists, self._make)
-        odd = [k for k, values in enumerate(got) if b"" in values]  # some space there has no visible neighbour
-        for k, values in zip(odd, self.kept.values([self._keys(texts[k]) for k in odd], self._make)):
-            got[k] = values
-        return got
+    def _make(self, keys: list[str]) -> list:
+        strings = [self.before + key if key and key.strip() == key else self.string(key) for key in keys]
+        made = iter(self.encode([string for string in strings if string is not None]))
+        return [b"" if string is None else next(made) for string in strings]
+
+    def parts(self, texts: pa.Array) -> tuple[list, np.ndarray, np.ndarray]:
+        """Values, the number of the value of each part of each text, and where the parts of each text begin and end."""
+        lists = pc.split_pattern(texts, " ")
+        bounds, coded = lists.offsets.to_numpy().astype(np.int64), lists.flatten().dictionary_encode()
+        keys, at = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().astype(np.int64)
+        bounds = bounds - bounds[0]
+        if self.firsts_differ:
+            names = [" " + keys[k] for k in at[bounds[:-1]].tolist()]
+            numbers = {name: len(keys) + k for k, name in enumerate(dict.fromkeys(names))}
+            at[bounds[:-1]] = [numbers[name] for name in names]
+            keys += numbers
+        values = self.kept.values([keys], self._make, self.weight)[0]
+        unusable = np.fromiter((value == b"" for value in values), bool, len(values))
+        odd = np.flatnonzero(np.logical_or.reduceat(unusable[at], bounds[:-1])) if unusable.any() and len(texts) else ()
+        if len(odd):
+            pieces = np.split(at, bounds[1:-1])
+            found = self.kept.values([self.keys(texts[k].as_py()) for k in odd.tolist()], self._make, self.weight)
+            values = list(values)
+            for k, own in zip(odd.tolist(), found):
+                pieces[k] = np.arange(len(values), len(values) + len(own))
+                values += own
+            at, bounds = np.concatenate(pieces), np.cumsum([0, *map(len, pieces)])
+        return values, at, bounds
+
+    def of(self, texts: pa.Array) -> list[bytes]:
+        """The joined values of each text."""
+        return joined(*self.parts(texts)) if len(texts) else []
+
+
+def joined(values: list[bytes], at: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """For each text the bytes of its parts' values."""
+    taken = pa.array(values, pa.large_binary()).take(pa.array(at))
+    ends = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset :][bounds].tolist()
+    data = memoryview(taken.buffers()[2]) if taken.buffers()[2] else b""
+    return [bytes(data[a:b]) for a, b in zip(ends, ends[1:])]

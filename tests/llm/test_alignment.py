@@ -5,6 +5,7 @@ from functools import reduce
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -143,4 +144,4 @@ def test_a_very_long_text_is_aligned_in_chunks(spark):
 def test_parts_give_what_the_whole_gives(text):
     both = alignment.pair(A_PATH, B_PATH)
     assert both.b.separable
-    assert both.aligned([text])[0] == (both.whole(text) or alignment.Closed())
+    assert both.aligned(pa.array([text]))[0] == (both.whole(text) or alignment.Closed())
