@@ -22,6 +22,7 @@ MOST_PHRASES = 1_000_000  # phrases of one trie; more are dealt to several tries
 COUNTED_AT_ONCE = 500_000  # distinct words a task holds before it hands their counts on
 POSITIONS_AT_ONCE = 8_000_000  # ids a task looks at before it names candidates
 TEXT_AT_ONCE = 1 << 20
+SLOTS_AT_ONCE = 4096  # places that are tried together for the children of a trie node
 
 
 def words_of(text: str) -> list[bytes]:
@@ -155,26 +156,24 @@ class DoubleArray:
         used = np.zeros(2 * width + 2 * len(nodes) + 2, dtype=bool)
         used[:width] = True
         single = [parent for parent, own in children.items() if len(own) == 1]
-        free_from = width
+        at, smallest = width, 0
         for parent in sorted((p for p, own in children.items() if len(own) > 1), key=lambda p: -len(children[p])):
             labels = last[children[parent]]
-            first, at = labels.min(), free_from
-            while True:
-                while len(used) < at + 256 + 2 * width:
+            first, size = labels.min(), len(labels)
+            if 2 * size <= smallest or not smallest:  # sets of half the size are tried from the start again
+                at, smallest = width, size
+            steps, place = labels - first, None
+            while place is None:
+                while len(used) < at + SLOTS_AT_ONCE + 2 * width:
                     used = np.append(used, np.zeros(len(used), dtype=bool))
-                good = at + np.arange(256)
-                for step in (labels - first).tolist():
+                good = at + np.arange(SLOTS_AT_ONCE)
+                for step in steps[:16].tolist():  # most places fail on the first few children
                     good = good[~used[good + step]]
-                    if not len(good):
-                        break
-                else:
-                    break
-                at += 256
-            base[parent] = good[0] - first
+                place = next((g for g in good.tolist() if not used[g + steps].any()), None)
+                at += SLOTS_AT_ONCE if place is None else 0
+            base[parent] = place - first
             used[base[parent] + labels] = True
             slot[children[parent]] = base[parent] + labels
-            while used[free_from : free_from + 256].all():
-                free_from += 256
         holes = np.flatnonzero(~used[: width + len(nodes) + int(used[width:].sum())])
         holes = holes[: len(single)]
         ends = np.array([children[parent][0] for parent in single], dtype=np.int64)
