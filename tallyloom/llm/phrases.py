@@ -22,6 +22,7 @@ MOST_PHRASES = 1_000_000  # phrases of one trie; more are dealt to several tries
 COUNTED_AT_ONCE = 500_000  # distinct words a task holds before it hands their counts on
 POSITIONS_AT_ONCE = 8_000_000  # ids a task looks at before it names candidates
 TEXT_AT_ONCE = 1 << 20
+LOOKS = (4, 16, 64, 256, 1024, 4096)
 SLOTS_AT_ONCE = 4096  # places that are tried together for the children of a trie node
 
 
@@ -167,9 +168,13 @@ class DoubleArray:
                 while len(used) < at + SLOTS_AT_ONCE + 2 * width:
                     used = np.append(used, np.zeros(len(used), dtype=bool))
                 good = at + np.arange(SLOTS_AT_ONCE)
-                for step in steps[:16].tolist():  # most places fail on the first few children
+                for tested, step in enumerate(steps.tolist(), 1):
                     good = good[~used[good + step]]
-                place = next((g for g in good.tolist() if not used[g + steps].any()), None)
+                    if not len(good):
+                        break
+                    if tested in LOOKS and not used[good[0] + steps].any():  # in an empty stretch the first place fits
+                        break
+                place = int(good[0]) if len(good) else None
                 at += SLOTS_AT_ONCE if place is None else 0
             base[parent] = place - first
             used[base[parent] + labels] = True
