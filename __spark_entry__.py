@@ -19,9 +19,9 @@ from tallyloom.functions.dates import parse_mixed_date  # noqa: E402
 from tallyloom.functions.keys import category_key, surrogate_key  # noqa: E402
 from tallyloom.functions.money import correct_amount  # noqa: E402
 from tallyloom.functions.text import standardise  # noqa: E402
-from tallyloom.operators import contracts, facts, guards, history, repeats, rules  # noqa: E402
+from tallyloom.operators import contracts, drift, facts, guards, history, repeats, rules, sketches  # noqa: E402
 from tallyloom.operators.dimensions import account_dim  # noqa: E402
-from tallyloom.plans import marts, medallion, silver, star  # noqa: E402
+from tallyloom.plans import marts, medallion, silver, slices, star  # noqa: E402
 from tallyloom.session import importable, shared_folder, tune  # noqa: E402
 from tallyloom.sources import csv, standin  # noqa: E402
 from tallyloom.sources.keyed import KeyedTable  # noqa: E402
@@ -328,6 +328,51 @@ def spend_cube(spark: SparkSession, folder: str) -> DataFrame:
     return marts.spend_cube(frames.facts, frames.dates, frames.accounts, frames.categories)
 
 
+def spend_of_quarter(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily debits of one quarter, from a fact stored by month whose other months are not opened."""
+    frames, scratch = _star(spark, folder), _scratch(spark, "by-month")
+    slices.write_by_month(frames.facts, scratch)
+    by_month = slices.read_by_month(spark, scratch, frames.facts.schema)
+    return slices.spend_by_day(by_month, frames.dates, (F.col("year") == 1998) & (F.col("quarter") == 2))
+
+
+def contract_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """What a run breaks against the one before: here a planted shift of categories, planted repeats and orphans."""
+    clean, number = _clean(spark, folder), F.col("transaction_id")
+    before = clean.filter(number % 2 == 0)
+    now = clean.filter(number % 2 == 1)
+    now = now.withColumn("category", F.when(number % 3 != 0, F.lit("Travel")).otherwise(F.col("category")))
+    now = now.withColumn("account_id", F.when(number % 41 == 0, F.lit(-5)).otherwise(F.col("account_id")))
+    now = now.union(now.filter(number % 97 == 0))
+    bins = {"category": F.col("category"), "status": F.col("status"), "amount": F.floor(F.col("amount") / 50_000), "month": F.month("transaction_date")}
+    return (
+        drift.shifts(drift.histogram(now, bins), drift.histogram(before, bins))
+        .union(drift.repeats(now, ["transaction_id"], "transaction_id"))
+        .union(drift.unmatched(now, "account_id", raw_accounts(spark, folder), "account_id"))
+    )
+
+
+def accounts_by_period(spark: SparkSession, folder: str) -> DataFrame:
+    """Active accounts of each month, quarter and year: the true number, and whether daily sketches merged for the period come close."""
+    clean, day = _clean(spark, folder), F.col("transaction_date")
+    periods = {
+        "month": F.date_format(day, "yyyy-MM"),
+        "quarter": F.concat(F.year(day).cast("string"), F.lit("-Q"), F.quarter(day).cast("string")),
+        "year": F.year(day).cast("string"),
+    }
+    scratch = _scratch(spark, "sketches")
+    sketches.by_day(clean, "account_id", "transaction_date").write.parquet(scratch)
+    daily = spark.read.parquet(scratch)
+    once = clean.select("account_id", "transaction_date").distinct()
+    results = []
+    for name, period in periods.items():
+        about = sketches.distinct_in(daily, period, "period")
+        exact = once.groupBy(period.alias("period")).agg(F.count_distinct("account_id").alias("accounts"))
+        near = F.abs(F.col("distinct") - F.col("accounts")) <= F.ceil(F.col("accounts") * sketches.BOUND)
+        results.append(exact.join(about, "period").select(F.lit(name).alias("grain"), "period", "accounts", near.alias("sketch_within_bound")))
+    return results[0].union(results[1]).union(results[2])
+
+
 def account_history(spark: SparkSession, folder: str) -> DataFrame:
     """Three yearly snapshots of the accounts; two in ten change their type on the way."""
     account, year = F.col("account_id"), F.col("year")
@@ -387,6 +432,9 @@ QUERIES: tuple[Query, ...] = (
     near_repeats,
     rolling_spend,
     spend_cube,
+    spend_of_quarter,
+    contract_drift,
+    accounts_by_period,
     account_history,
     contract_report,
 )

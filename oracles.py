@@ -262,6 +262,35 @@ SQL: dict[str, str] = {
         from facts join dim_date using (date_key) join dim_category using (category_key) left join dim_accounts using (account_key)
         group by grouping sets ((year, month_num, category_group), (year, category_group, category_name), (region, account_type), (year, month_num), (status))"""
     ),
+    "spend_of_quarter": over_star(
+        f"""select date_key, {total("amount")} as total_spend, count(*) as transaction_count
+        from facts join dim_date using (date_key) where transaction_type = 'debit' and year = 1998 and quarter = 2 group by date_key"""
+    ),
+    "contract_drift": over_labelled(
+        """select 'no_shift' as contract, subject, value, value < 0.2 as passed from (
+         select subject, round(sum((p - q) * ln(p / q)), 6) as value from (
+          select subject, (n + 0.5) / (sum(n) over s + 0.5 * count(*) over s) as p, (m + 0.5) / (sum(m) over s + 0.5 * count(*) over s) as q
+          from bins window s as (partition by subject)) group by subject)
+        union all select 'unique', 'transaction_id', cast(count(*) - count(distinct transaction_id) as double), count(*) = count(distinct transaction_id) from later
+        union all select 'known', 'account_id', round(lost / total, 6), lost = 0 from (
+         select count(*) filter (not exists (select 1 from raw_accounts a where a.account_id = l.account_id)) as lost, count(*) as total from later l)""",
+        """later_once as (
+         select * replace (case when transaction_id % 3 <> 0 then 'Travel' else category end as category,
+          case when transaction_id % 41 = 0 then -5 else account_id end as account_id) from clean where transaction_id % 2 = 1),
+        later as (select * from later_once union all select * from later_once where transaction_id % 97 = 0),
+        both_runs as (select *, 1 as is_now from later union all select *, 0 from clean where transaction_id % 2 = 0),
+        bins as (
+         select subject, bin, sum(is_now) as n, sum(1 - is_now) as m from (
+          select is_now, unnest(['category', 'status', 'amount', 'month']) as subject,
+           unnest([category, status, cast(floor(amount / 50000) as varchar), cast(month(transaction_date) as varchar)]) as bin from both_runs)
+         group by subject, bin)""",
+    ),
+    "accounts_by_period": over_labelled(
+        """select grain, period, count(distinct account_id) as accounts, true as sketch_within_bound from (
+         select account_id, unnest(['month', 'quarter', 'year']) as grain,
+          unnest([strftime(transaction_date, '%Y-%m'), year(transaction_date) || '-Q' || quarter(transaction_date), cast(year(transaction_date) as varchar)]) as period
+         from clean) group by grain, period"""
+    ),
     "bronze_accounts": f"with {RAW_ACCOUNTS} select *, 'accounts_raw.csv' as _source_file from raw_accounts",
     "text_standardise": over_cleaned(
         "select transaction_id, category, description, transaction_type, raw_status as status from cleaned"
