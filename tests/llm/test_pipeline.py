@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -60,6 +61,20 @@ def test_run_on_odd_rows(spark, tmp_path):
     assert got.columns == ["doc_id", "lang", "source", "n_tokens", "ids"] and got.count() >= 1
 
 
+def test_an_empty_table_and_a_very_long_text(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choices("abcdeiouü", k=rng.randint(2, 9))) for _ in range(40_000)) for _ in range(5)]
+    many = [(k, text, "de", "s1", len(text)) for k, text in enumerate([*texts, "kurz"])]
+    for name, rows in (("none", []), ("long", many)):
+        folder = tmp_path / name
+        spark.createDataFrame(rows, schema).write.parquet(str(folder / "documents.parquet"))
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(folder / "labels.parquet"))
+        got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in corpus_pipeline.run(spark, str(folder)).collect()}
+        assert all(got[doc_id] == LIBRARY.encode_ordinary(text) for doc_id, text, *_ in rows if doc_id in got)
+        assert not rows and not got or len(got) >= 3 and set(got) <= set(range(6))
+
+
 def test_a_wrong_round_trip_stops_the_run(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "gute Wörter", "de", "s1", 11), (None, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long")
     good = corpus_pipeline.tokenise(spark, docs, SF).collect()
