@@ -14,7 +14,12 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not call toxic; it learns from the labelled rows of ``docs``."""
+    """Documents that the classifier does not call toxic; it learns from the labelled rows of ``docs``.
+
+    Null and empty texts score as the model's bias says; a null doc_id or other null column stays
+    as it is, repeated rows are judged alike, an empty table gives none. Only the columns of
+    documents go on, so others cannot clash.
+    """
     sample = labelled_sample(table(spark, sf_dir, "labels"), docs, "toxic", MOST_LABELLED)
     scored = toxicity.score(docs.select(*COLUMNS), toxicity.fit(sample), column="toxic_score")
     return scored.filter(toxicity.predicted(F.col("toxic_score")) == 0).select(*COLUMNS)
@@ -37,13 +42,22 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The same documents with surrogates for personal data; n_chars follows the new text."""
+    """The same documents with surrogates for personal data; n_chars follows the new text, and stays null if it was.
+
+    Null and empty texts, texts without personal data and repeated rows pass unchanged; an empty
+    table gives none.
+    """
     replaced = pii.surrogates(docs.select(*COLUMNS), PII_KEY)
     return replaced.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast("long"))).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mixture draws it."""
+    """Each document as often as the mixture draws it.
+
+    A null language or source is a leaf called ``unknown``; null and empty texts have no tokens, so
+    whole epochs repeat them and a remainder may hold them; repeated rows tie and are drawn together.
+    An empty table gives none.
+    """
     return mixing.mix(docs.select(*COLUMNS), mix_domain(), MIX_WEIGHTS, mix_budget(), MIX_EPOCHS, MIX_SEED)
 
 

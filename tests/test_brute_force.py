@@ -73,7 +73,7 @@ def test_labels_equal_a_plain_loop(spark, after_validation, ids_a_piece, drawn):
     ]
     known = spark.createDataFrame([(account,) for account in ACCOUNTS], "account_id long")
     chosen = replace(Settings(), dedup_after_validation=after_validation)
-    with mock.patch.object(dedup, "dedup_rank", lambda frame, keys: RANKED(frame, keys, ids_a_piece)):
+    with mock.patch.object(dedup, "dedup_rank", lambda frame, keys, **more: RANKED(frame, keys, ids_a_piece, **more)):
         labelled = silver.label(spark.createDataFrame(rows, RAW), known, chosen)
     found = {row.transaction_id: (row._dedup_rank, row._rejection_reason) for row in labelled.collect()}
     assert found == loop(rows, after_validation)

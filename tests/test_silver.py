@@ -187,10 +187,10 @@ def test_busy_accounts_and_keys_are_labelled_like_others(spark, keep_amounts, de
 
     pieces = dedup.dedup_rank
     whole = labels()
-    monkeypatch.setattr(dedup, "dedup_rank", lambda frame, by: pieces(frame, by, 100))
+    monkeypatch.setattr(dedup, "dedup_rank", lambda frame, by, **more: pieces(frame, by, 100, **more))
     cut = labels()
     window = Window.partitionBy(*keys).orderBy(*dedup.newest_first())
-    monkeypatch.setattr(dedup, "dedup_rank", lambda frame, by: frame.withColumn(dedup.RANK, F.row_number().over(window)))
+    monkeypatch.setattr(dedup, "dedup_rank", lambda frame, by, **more: frame.withColumn(dedup.RANK, F.row_number().over(window)))
     assert whole == cut == labels()
 
 
