@@ -27,7 +27,7 @@ from tallyloom.sources import csv, standin  # noqa: E402
 from tallyloom.sources.keyed import KeyedTable  # noqa: E402
 from tallyloom.sources.tables import CLEANED, MODELLED, RAW, Layers  # noqa: E402
 from tallyloom.sources.standin import SETTINGS, raw_accounts, raw_budget, raw_transactions  # noqa: E402
-from tallyloom.streaming import incremental, keystate  # noqa: E402
+from tallyloom.streaming import incremental, keystate, replay  # noqa: E402
 
 try:  # the training-data operators are a separate part that may be absent
     import corpus_pipeline  # noqa: E402
@@ -125,6 +125,25 @@ def incremental_settled(spark: SparkSession, folder: str) -> DataFrame:
     return settled.select("transaction_id", *SETTINGS.business_key, rules.REASON)
 
 
+def quarantine_replay(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions whose account comes after them: rejected first, taken up with the account, then settled as one batch would."""
+    scratch, late = _scratch(spark, "replay"), F.col("account_id") % 4 == 1
+    accounts, source = standin.accounts_file(spark, folder), csv.SOURCES["accounts"]
+    csv.write_csv(standin.transactions_file(spark, folder), scratch, csv.SOURCES["transactions"])
+    rows = incremental.arriving(spark, scratch, csv.SOURCES["transactions"])
+    labelled = incremental.label_stream(rows, accounts.filter(~late), SETTINGS)
+    incremental.append_available(labelled, f"{scratch}/labelled", f"{scratch}/progress")
+    stored = spark.read.parquet(f"{scratch}/labelled")
+    for lot in (accounts.filter(~late), accounts.filter(late)):
+        csv.write_csv(lot, scratch, source, mode="append")
+        waiting = spark.readStream.schema(stored.schema).parquet(f"{scratch}/labelled")
+        taken = replay.taken_up(waiting, incremental.arriving(spark, scratch, source))
+        incremental.append_available(taken, f"{scratch}/replayed", f"{scratch}/replay-progress")
+    replayed = spark.read.schema(stored.schema).parquet(f"{scratch}/replayed")
+    settled = incremental.settle(replay.with_replays(stored, replayed), SETTINGS)
+    return settled.select("transaction_id", *SETTINGS.business_key, rules.REASON)
+
+
 def merge_accounts(spark: SparkSession, folder: str) -> DataFrame:
     """Accounts after three feeds of changes, merged by key; the feeds repeat keys and bring stale states."""
     table = KeyedTable(spark, _scratch(spark, "accounts"), standin.account_feed(spark, folder, 0).schema, ("account_id",), "version", buckets=64)
@@ -397,6 +416,7 @@ QUERIES: tuple[Query, ...] = (
     incremental_clean,
     incremental_quarantine,
     incremental_settled,
+    quarantine_replay,
     merge_accounts,
     stored_run,
     text_standardise,

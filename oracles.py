@@ -203,6 +203,10 @@ SQL: dict[str, str] = {
             "transaction_id >= 1000000007, transaction_id", "case when transaction_id >= 1000000007 then 1 else transaction_id % 2 * 2 end, transaction_id"
         ),
     ),
+    "quarantine_replay": over_labelled(
+        "select transaction_id, account_id, transaction_date, amount, nullif(category, '') as category, reason as _rejection_reason from settled",
+        SETTLED_WITH.replace("transaction_id >= 1000000007, transaction_id", "transaction_id"),
+    ),
     "merge_accounts": f"""with {RAW_ACCOUNTS},
         base as (select account_id, trim(customer_name) as name, upper(account_type) as account_type, upper(region) as region from raw_accounts),
         opened as (select account_id + 10000000 as account_id, name, account_type, region from base where account_id % 50 = 7),
