@@ -149,7 +149,7 @@ def score(documents: DataFrame, space: Space, column: str = "score", text: str =
 
     Every text is compared with all labelled vectors, in blocks. Null and empty texts count as
     one empty line and get what its neighbours say. All columns and repeated rows pass unchanged, save one of that name,
-    which is replaced. The broadcast holds the bounded sample's vectors: a few MB.
+    which is replaced; an empty table gives none. Among neighbours of equal similarity at the edge of the vote any may count. The broadcast holds the bounded sample's vectors: a few MB.
     """
     shared = documents.sparkSession.sparkContext.broadcast(space)
 

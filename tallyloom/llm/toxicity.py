@@ -166,7 +166,7 @@ def score(documents: DataFrame, model: Model, column: str = "score", text: str =
     """Add ``column``: the probability that the whole text is toxic.
 
     Null and empty texts have no features; their score is that of the bias. All columns and
-    repeated rows pass unchanged, save one of that name, which is replaced. The model has a
+    repeated rows pass unchanged, save one of that name, which is replaced; an empty table gives none. The model has a
     bounded number of weights and travels with the function.
     """
 

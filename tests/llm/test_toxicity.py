@@ -4,9 +4,24 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tallyloom.llm import queries, toxicity
+from tallyloom.llm.common import labelled_sample
 
 
-def test_whole_table_against_a_plain_score_and_held_out_accuracy(spark):
+def test_whole_table_against_a_plain_sum(spark):
+    """Each score is the logistic of the bias and the weights of the text's features, summed one by one."""
+    folder = "/root/testdata/sf0.01"
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
+    model = toxicity.fit(labelled_sample(spark.read.parquet(f"{folder}/labels.parquet"), documents, "toxic", queries.MOST_LABELLED))
+    texts = {r.doc_id: r.text or "" for r in documents.collect()}
+    got = {r.doc_id: r for r in queries.op1_toxicity(spark, folder).collect()}
+    assert got.keys() == texts.keys() and model.weights
+    for doc_id, text in texts.items():
+        logit = model.bias + sum(model.weights.get(feature, 0.0) for feature in sorted(toxicity.features(text)))
+        assert abs(got[doc_id].score - 1 / (1 + np.exp(-logit))) < 1e-9
+        assert got[doc_id].predicted == int(got[doc_id].score >= 0.5)
+
+
+def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.1"
     got = queries.op1_toxicity(spark, folder)
     joined = got.filter("held_out").join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").select("predicted", "toxic").collect()
