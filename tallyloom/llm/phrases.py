@@ -20,7 +20,7 @@ SETTLE = bytes.maketrans(ENDS + b"\t", b"\n" * len(ENDS) + b" ")
 MOST_WORDS = 2_000_000  # frequent words that may be broadcast as a dictionary; beyond, words get their ids by a join
 MOST_PHRASES = 1_000_000  # phrases of one trie; more are dealt to several tries, each broadcast and scanned by itself
 COUNTED_AT_ONCE = 500_000  # distinct words a task holds before it hands their counts on
-POSITIONS_AT_ONCE = 8_000_000  # ids a task looks at before it names candidates
+POSITIONS_AT_ONCE = 8_000_000  # pairs a task holds before it adds them up and hands them on
 TEXT_AT_ONCE = 1 << 20
 LOOKS = (4, 16, 64, 256, 1024, 4096)
 SLOTS_AT_ONCE = 4096  # places that are tried together for the children of a trie node
@@ -219,12 +219,12 @@ def _tries(table: DataFrame, width: int, most_phrases: int) -> Iterator[tuple[Do
         yield DoubleArray(sorted(tuple(one) for one in some.select("phrase").toArrow()["phrase"].to_pylist()), width), parts == 1
 
 
-def _candidates(texts: DataFrame, trie: Callable | None, whole: bool, length: int, least: int, total: int) -> DataFrame:
+def _candidates(texts: DataFrame, trie: Callable | None, whole: bool, length: int, least: int) -> DataFrame:
     """Phrases of ``length`` words that may occur ``least`` times: (phrase).
 
     The words but the last are a frequent phrase, and so are those but the first if the trie
-    holds all. Of a stretch of the texts with n of all ids, what occurs less than ``least`` * n /
-    ``total`` times is left out: a phrase left out of every stretch occurs less than ``least`` times.
+    holds all; and the pairs of that phrase's number and the last word, summed over all tasks,
+    are at least ``least``. So what is left out is rare. Tasks add pairs up before they are shuffled.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,10 +233,7 @@ def _candidates(texts: DataFrame, trie: Callable | None, whole: bool, length: in
 
         def out() -> pa.RecordBatch:
             keys, counts = np.unique(np.concatenate(held), return_counts=True)
-            keys = keys[counts * total >= least * size]
-            begins, ends = (keys >> 32).tolist(), (keys & 0xFFFFFFFF).tolist()
-            found = [(*tree.phrases[b - 1], e) for b, e in zip(begins, ends)] if tree else list(zip(begins, ends))
-            return pa.RecordBatch.from_arrays([_lists(found)], names=["phrase"])
+            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["pair", "n"])
 
         for batch in batches:
             for one in batch.column(0):
@@ -251,14 +248,23 @@ def _candidates(texts: DataFrame, trie: Callable | None, whole: bool, length: in
                 follows = number[1 : len(last) + 1] if whole and length > 2 else last
                 lives = (begin > 0) & (follows > 0) & (last > 0)
                 held.append(begin[lives] << 32 | last[lives])
-                size += len(ids)
+                size += len(held[-1])
             if size > POSITIONS_AT_ONCE:
                 yield out()
                 held, size = [], 0
         if size:
             yield out()
 
-    return texts.mapInArrow(find, "phrase array<int>")
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = trie.value if trie else None
+        for batch in batches:
+            pairs = batch.column(0).to_numpy()
+            begins, ends = (pairs >> 32).tolist(), (pairs & 0xFFFFFFFF).tolist()
+            found = [(*tree.phrases[b - 1], e) for b, e in zip(begins, ends)] if tree else list(zip(begins, ends))
+            yield pa.RecordBatch.from_arrays([_lists(found)], names=["phrase"])
+
+    pairs = texts.mapInArrow(find, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return pairs.filter(F.col("n") >= least).select("pair").mapInArrow(spell, "phrase array<int>")
 
 
 def _occurrences(texts: DataFrame, trie: Callable, length: int) -> DataFrame:
@@ -283,23 +289,22 @@ def _occurrences(texts: DataFrame, trie: Callable, length: int) -> DataFrame:
 def frequent_phrases(texts: DataFrame, words: int, least: int, longest: int = 5, most_phrases: int = MOST_PHRASES) -> list[DataFrame]:
     """For 2, 3, … ``longest`` words: (phrase, n) of the id sequences found ``least`` times or more.
 
-    Each length takes two scans of ``texts`` (see ``encoded``): one names candidates that are safe
-    to leave the rest out, one counts them by the states of a broadcast trie.
+    Each length takes two scans of ``texts`` (see ``encoded``): one names candidates such that all
+    others are rare, one counts them by the states of a broadcast trie.
     """
     context = texts.sparkSession.sparkContext
-    total = texts.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
     found: list[DataFrame] = []
     for length in range(2, longest + 1):
         if length == 2:
-            named = _candidates(texts, None, True, length, least, total // 4)
+            named = _candidates(texts, None, True, length, least)
         else:
-            parts = [_candidates(texts, context.broadcast(trie), whole, length, least, total // 4) for trie, whole in _tries(found[-1], words + 1, most_phrases)]
+            parts = [_candidates(texts, context.broadcast(trie), whole, length, least) for trie, whole in _tries(found[-1], words + 1, most_phrases)]
             if not parts:
                 break
             named = parts[0]
             for part in parts[1:]:
                 named = named.union(part)
-        candidates = stored(named.distinct(), "phrase-candidates")
+        candidates = stored(named, "phrase-candidates")
         counts = [_occurrences(texts, context.broadcast(trie), length) for trie, _ in _tries(candidates, words + 1, most_phrases)]
         if not counts:
             break

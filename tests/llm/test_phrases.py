@@ -106,7 +106,6 @@ def test_candidates_leave_out_only_what_is_rare(spark, rows):
     texts = as_frame(spark, rows).select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     vocabulary = phrases._numbered(phrases.word_counts(texts, 10).filter("word is not null"))
     ids = stored(phrases.encoded(texts, vocabulary.select("lang", "word", "id")), "test-ids")
-    total = ids.agg(F.sum(F.octet_length("ids"))).first()[0] // 4
-    named = {tuple(r.phrase) for r in phrases._candidates(ids, None, True, 2, 10, total).collect()}
+    named = {tuple(r.phrase) for r in phrases._candidates(ids, None, True, 2, 10).collect()}
     frequent = phrases.frequent_phrases(ids, vocabulary.count(), 10)
     assert {tuple(r.phrase) for r in frequent[0].collect()} <= named
