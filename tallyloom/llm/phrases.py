@@ -293,8 +293,8 @@ def frequent_phrases(texts: DataFrame, words: int, least: int, longest: int = 5,
     others are rare, one counts them by the states of a broadcast trie.
     """
     context = texts.sparkSession.sparkContext
-    # Every task hands on a sum for each pair or phrase that it met, so there are no more of them than keep the cores busy.
-    texts = texts.coalesce(max(8, 2 * context.defaultParallelism))
+    # Every counting task hands on a sum for each phrase that it met, so there are no more of them than keep the cores busy.
+    counted = texts.coalesce(max(8, 2 * context.defaultParallelism))
     found: list[DataFrame] = []
     for length in range(2, longest + 1):
         if length == 2:
@@ -307,7 +307,7 @@ def frequent_phrases(texts: DataFrame, words: int, least: int, longest: int = 5,
             for part in parts[1:]:
                 named = named.union(part)
         candidates = stored(named, "phrase-candidates")
-        counts = [_occurrences(texts, context.broadcast(trie), length) for trie, _ in _tries(candidates, words + 1, most_phrases)]
+        counts = [_occurrences(counted, context.broadcast(trie), length) for trie, _ in _tries(candidates, words + 1, most_phrases)]
         if not counts:
             break
         summed = counts[0]
