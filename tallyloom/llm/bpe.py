@@ -13,13 +13,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.words import Kept, Words
+from tallyloom.session import bounded_batches
 
 NONE = np.int64(1) << 62
 NEVER = int(NONE)
 WIDEST = 64  # bytes of a piece up to which many pieces are merged side by side
-PIECES_AT_ONCE = 8192
+CELLS_AT_ONCE = 1 << 16  # bytes of pieces merged side by side, each as wide as the widest
 BYTES_AT_ONCE = 4 << 20  # of text in a batch that a worker hands on
-KEPT_BYTES = 192 << 20  # a worker remembers parts of texts up to this size, and pieces up to a third of it
+KEPT_BYTES = 96 << 20  # a worker remembers parts of texts up to this size, and pieces they share up to a sixth of it
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -145,7 +146,7 @@ class Encoder:
         self.merges = Merges(ranks)
         self.pattern = regex.compile(pattern)
         self.words = Words(self._parts, KEPT_BYTES)
-        self.known = Kept(KEPT_BYTES // 3)
+        self.known = Kept(KEPT_BYTES // 6)
 
     def pieces(self, pieces: Iterable[str]) -> list[bytes]:
         """Packed ids of each piece."""
@@ -161,14 +162,16 @@ class Encoder:
             else:
                 packed[piece] = np.array(merge_one(piece, self.merges), dtype="<u4").tobytes()
         for width, some in by_width.items():
-            for at in range(0, len(some), PIECES_AT_ONCE):
-                part = some[at : at + PIECES_AT_ONCE]
+            for at in range(0, len(some), CELLS_AT_ONCE // width):
+                part = some[at : at + CELLS_AT_ONCE // width]
                 packed.update(zip(part, merge_side_by_side(part, width, self.merges)))
         return [packed[piece] for piece in coded]
 
     def _parts(self, parts: list[str]) -> list[bytes]:
-        split = [self.pattern.findall(part) for part in parts]
-        return list(map(b"".join, self.known.values(split, self.pieces)))
+        split = list(map(self.pattern.findall, parts))
+        alone = iter(self.pieces([own[0] for own in split if len(own) == 1]))  # the part itself is kept, by ``words``
+        shared = iter(self.known.values([own for own in split if len(own) != 1], self.pieces))
+        return [next(alone) if len(own) == 1 else b"".join(next(shared)) for own in split]
 
     def texts(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Packed ids of each text: unsigned 32-bit little-endian numbers."""
@@ -198,8 +201,10 @@ def encode(
     text travels to Python once. A null text counts as empty and gets no ids. All other columns
     and repeated rows pass unchanged; columns of the three names are replaced. An empty table
     gives none. The vocabulary file is read once, on the driver, and goes to the executors as a
-    broadcast of its fixed size.
+    broadcast of its fixed size. The session hands texts to Python in batches of about
+    ``BYTES_AT_ONCE`` from now on.
     """
+    bounded_batches(spark, BYTES_AT_ONCE)
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
     added = {"ids": "binary", **({decoded: "binary"} if decoded else {}), **({intact: "boolean"} if intact else {})}
     others = [name for name in documents.columns if name not in (text, *added)]

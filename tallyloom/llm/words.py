@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 
 # A space between two visible characters always begins a new piece, so texts can be cut there.
 CUT = re.compile(r"(?<=\S)(?= \S)")
+MADE_AT_ONCE = 1 << 14  # new keys
 ENTRY = 200  # bytes of a dictionary entry beside its text and its value
 
 
@@ -18,7 +19,8 @@ class Kept:
     """Values by key in two generations of together at most ``most_bytes``.
 
     When the newer generation is full it becomes the older one, whose forerunner goes. A key
-    that is asked for again moves to the newer one, so what is frequent stays.
+    that is asked for again moves to the newer one, so what is frequent stays. Values of new keys
+    are made for ``MADE_AT_ONCE`` keys at a time, so the work on them is bounded as well.
     """
 
     def __init__(self, most_bytes: int) -> None:
@@ -35,7 +37,9 @@ class Kept:
         if missing:
             again = {key: old[key] for key in missing if key in old} if old else {}
             new = [key for key in missing if key not in again]
-            again.update(zip(new, make(new)))
+            for at in range(0, len(new), MADE_AT_ONCE):
+                some = new[at : at + MADE_AT_ONCE]
+                again.update(zip(some, make(some)))
             now.update(again)
             self.size += sum(map(len, again)) + sum(map(weight, again.values())) + ENTRY * len(again)
             for keys, found, places in zip(lists, got, gaps):

@@ -22,6 +22,9 @@ SESSION_CONF = {
 }
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the settings the plans rely on to a running session."""
     for name, value in SESSION_CONF.items():
@@ -29,6 +32,17 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def bounded_batches(spark: SparkSession, most: int) -> None:
+    """Let the session hand rows to Python in batches of about ``most`` bytes, not only of so many rows.
+
+    Executor and worker each hold a batch whole, outside the heap. A limit that is lower, or that
+    was set with a unit, stays.
+    """
+    held = spark.conf.get(BATCH_BYTES).removesuffix("b")
+    if held.isdigit() and int(held) > most:
+        spark.conf.set(BATCH_BYTES, most)
+
+
 def importable(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package from where the driver has it, if it is not installed there."""
     root, env = os.path.dirname(os.path.dirname(os.path.abspath(__file__))), spark.sparkContext.environment

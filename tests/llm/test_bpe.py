@@ -85,3 +85,35 @@ def test_nulls_empties_repeats_and_clashing_columns(spark):
     assert got == [(1, [], b""), (2, [], b""), *[(3, LIBRARY.encode_ordinary("a b"), b"a b")] * 2,
                    (None, LIBRARY.encode_ordinary("z"), b"z")]
     assert bpe.encode(spark, frame.limit(0), PATH, PATTERN).collect() == []
+
+
+def test_work_of_an_encoder_is_bounded(spark, monkeypatch):
+    """Batches by bytes, new parts and merges in bounded lots, and no piece that is a whole part kept twice."""
+    texts = [" ".join(f"{k:x}q{j}, zq{j}{k:x}" for j in range(300)) for k in range(40)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    asked, sizes, merge = [], [], bpe.merge_side_by_side
+    monkeypatch.setattr(bpe, "merge_side_by_side", lambda some, width, merges: sizes.append(len(some) * width) or merge(some, width, merges))
+    encoder = bpe.Encoder(RANKS, PATTERN)
+    parts = encoder._parts
+    encoder.words.encode = lambda strings: asked.append(len(strings)) or parts(strings)
+    assert [ids_of(p) for p in encoder.texts(texts)] == [LIBRARY.encode_ordinary(t) for t in texts]
+    assert sum(asked) > words.MADE_AT_ONCE >= max(asked) and max(sizes) <= bpe.CELLS_AT_ONCE
+    whole = encoder._parts([" zebraqx", " zebraqy,"])
+    assert [ids_of(p) for p in whole] == [LIBRARY.encode_ordinary(" zebraqx"), LIBRARY.encode_ordinary(" zebraqy,")]
+    assert " zebraqx" not in encoder.known.now and " zebraqy" in encoder.known.now
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, 64 << 20)
+        monkeypatch.setattr(bpe, "BYTES_AT_ONCE", 1 << 15)
+        got = bpe.encode(spark, rows, PATH, PATTERN)
+        assert int(spark.conf.get(name)) == 1 << 15
+        seen = rows.mapInArrow(lambda batches: (b.select(["doc_id"]).slice(0, 1) for b in batches), "doc_id long").count()
+        assert 3 <= seen < len(texts)
+        assert {r.doc_id: ids_of(r.ids) for r in got.collect()} == dict(enumerate(map(LIBRARY.encode_ordinary, texts)))
+        spark.conf.set(name, "1k")
+        bpe.encode(spark, rows, PATH, PATTERN)
+        assert spark.conf.get(name) == "1k"
+    finally:
+        spark.conf.set(name, before)
