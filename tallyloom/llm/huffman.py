@@ -24,7 +24,8 @@ from tallyloom.llm import ranges
 from tallyloom.llm.bpe import groups_of
 from tallyloom.llm.common import scratch
 from tallyloom.llm.files import store, written
-from tallyloom.llm.library import library
+from tallyloom.llm.library import forget, library
+from tallyloom.session import bounded_batches
 
 MAGIC = b"IDHUFF1\n"
 LONGEST = 18  # bits of a code at most, unless there are more ids than such codes
@@ -167,7 +168,9 @@ def write(documents: DataFrame, folder: str, tokenizer: str, end_id: int, shards
     Cut points of the id ranges are exact (``ranges.cuts`` over text bytes), so equal input and
     settings give equal files. One job shuffles the texts to their range, encodes them once,
     spools plain ids to a scratch folder and counts them; its only result rows are counts by id,
-    at most one for each id of the vocabulary on the driver. The next job codes each range.
+    at most one for each id of the vocabulary on the driver. The next job codes each range; its
+    tasks drop the parts that their worker kept for encoding. The session hands texts to Python
+    in batches of about ``TEXT_AT_ONCE`` bytes from now on.
     Files get their names by renaming, and readers follow the manifest alone.
 
     Null texts count as empty and hold the end id alone; a null doc_id comes first; rows of one
@@ -175,6 +178,7 @@ def write(documents: DataFrame, folder: str, tokenizer: str, end_id: int, shards
     gives a manifest without files. Texts are never cut; a long one spans blocks.
     """
     spark = documents.sparkSession
+    bounded_batches(spark, TEXT_AT_ONCE)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     chosen = ranges.cuts(rows, "doc_id", F.octet_length("text") + 1, shards)
     spool = scratch(spark, "ids")
@@ -226,6 +230,7 @@ def write(documents: DataFrame, folder: str, tokenizer: str, end_id: int, shards
     kind = library_kind(tokenizer)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()  # all texts are encoded
         book, source, target = Codebook(lengths), store(spool), store(folder)
         for batch in batches:
             for shard in batch.column(0).to_pylist():

@@ -26,7 +26,7 @@ class Library:
     end there are encoded as one long string and cut again by the bytes of their tokens.
     """
 
-    def __init__(self, path: str, kept_bytes: int = 128 << 20) -> None:
+    def __init__(self, path: str, kept_bytes: int = 96 << 20) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
         from tokenizers import Tokenizer
 
@@ -37,7 +37,12 @@ class Library:
         written = (self.tokenizer.id_to_token(k) or "" for k in range(size))
         self.tokens = [bytes(map(byte_of.__getitem__, token)) if all(c in byte_of for c in token) else token.encode() for token in written]
         self.sizes = np.array(list(map(len, self.tokens)))
-        self.words = Words(self.strings, kept_bytes)
+        self.kept_bytes = kept_bytes
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop all parts that were kept."""
+        self.words = Words(self.strings, self.kept_bytes)
 
     def ids(self, strings: list[str]) -> list[np.ndarray]:
         """Ids of whole strings, straight from the library."""
@@ -74,3 +79,10 @@ def library(path: str) -> Library:
         _LIBRARIES.clear()
         _LIBRARIES[path] = Library(path)
     return _LIBRARIES[path]
+
+
+def forget() -> None:
+    """Drop what this worker's encoder has kept, once no text is left to encode; it stays loaded."""
+    for one in _LIBRARIES.values():
+        one.forget()
+    pa.default_memory_pool().release_unused()

@@ -4,12 +4,13 @@ import os
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallyloom.llm import huffman, ranges
+from tallyloom.llm import huffman, library, ranges
 from tallyloom.llm.queries import op11_huffman_ids
 
 SF = "/root/testdata/sf0.01"
@@ -157,3 +158,23 @@ def test_cuts_of_uneven_keys(spark):
     got = {r.key: r.s for r in frame.select("key", ranges.shard_of("key", chosen).alias("s")).collect()}
     assert got[None] == 0 and all(got[k] == sum(c <= k for c in chosen) for k in keys if k is not None)
     assert ranges.cuts(frame.limit(0), "key", F.lit(1), 6) == []
+
+
+def test_worker_keeps_no_parts_once_all_is_encoded(spark, tmp_path):
+    """Texts reach Python in batches by bytes, and a worker that codes files holds no parts of texts any more."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, 64 << 20)
+        rows = spark.createDataFrame([(k, f"a{k} b{k} c{k}") for k in range(200)], "doc_id long, text string")
+        huffman.write(rows, str(tmp_path / "ids"), PATH, 0, 8)
+        assert int(spark.conf.get(name)) == huffman.TEXT_AT_ONCE
+    finally:
+        spark.conf.set(name, before)
+    coder = library.library(PATH)
+    text = pa.array(["one two three four"])
+    packed = coder.texts(text)
+    assert coder.words.kept.now
+    library.forget()
+    assert library.library(PATH) is coder and not coder.words.kept.now and not coder.words.kept.old
+    assert coder.texts(text) == packed
