@@ -9,7 +9,7 @@ import pyarrow as pa
 
 from tallyloom.llm.words import Words
 
-PARTS_AT_ONCE = 4096
+PARTS_AT_ONCE = 1024  # in one string: longer ones take more time a byte
 
 
 def byte_of_character() -> dict[str, int]:

@@ -178,3 +178,12 @@ def test_worker_keeps_no_parts_once_all_is_encoded(spark, tmp_path):
     library.forget()
     assert library.library(PATH) is coder and not coder.words.kept.now and not coder.words.kept.old
     assert coder.texts(text) == packed
+
+
+def test_parts_go_to_the_library_in_short_strings(monkeypatch):
+    coder, asked = library.Library(PATH), []
+    ids = coder.ids
+    monkeypatch.setattr(coder, "ids", lambda strings: asked.extend(strings) or ids(strings))
+    text = " ".join(f"p{k:x}, é{k}" for k in range(4000))
+    assert coder.texts(pa.array([text]))[0] == np.array(ids_of(text)[:-1], dtype=coder.kind).tobytes()
+    assert max(one.count(" ") for one in asked) <= 1024
