@@ -9,19 +9,24 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import stored
+from tallyloom.session import bounded_batches
 
 # ASCII marks and line ends that end a piece. A tab parts words like a space.
 ENDS = b".,;:!?\n\x0b\x0c\r"
 SETTLE = bytes.maketrans(ENDS + b"\t", b"\n" * len(ENDS) + b" ")
 MOST_WORDS = 2_000_000  # frequent words that may be broadcast as a dictionary; beyond, words get their ids by a join
 MOST_PHRASES = 1_000_000  # phrases of one trie; more are dealt to several tries, each broadcast and scanned by itself
-COUNTED_AT_ONCE = 500_000  # distinct words a task holds before it hands their counts on
-POSITIONS_AT_ONCE = 8_000_000  # pairs a task holds before it adds them up and hands them on
-TEXT_AT_ONCE = 1 << 20
+COUNTED_AT_ONCE = 250_000  # distinct words a task holds before it hands their counts on
+POSITIONS_AT_ONCE = 1 << 21  # pairs a task holds before it adds them up; of distinct ones it hands half as many on
+BUCKET_POSITIONS = 1 << 21  # positions of the texts for each bucket that pairs are dealt to
+NUMBERS_AT_ONCE = 1 << 16  # phrases whose counts travel together
+TEXT_AT_ONCE = 1 << 17  # words in a row of ids
+BYTES_AT_ONCE = 4 << 20  # in a batch that Spark hands to Python
 LOOKS = (4, 16, 64, 256, 1024, 4096)
 SLOTS_AT_ONCE = 4096  # places that are tried together for the children of a trie node
 
@@ -88,11 +93,10 @@ def encoded(documents: DataFrame, vocabulary: DataFrame, most_words: int = MOST_
         by_lang: dict[str, dict[bytes, int]] = {}
         for r in vocabulary.toLocalIterator():
             by_lang.setdefault(r.lang, {})[r.word.encode()] = r.id
-        known = spark.sparkContext.broadcast(by_lang)
+        known = spark.sparkContext.broadcast({lang: _Ids({**ids, b"": -1, b"\n": 0}) for lang, ids in by_lang.items()})
 
         def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tables = {lang: _Ids({**ids, b"": -1, b"\n": 0}) for lang, ids in known.value.items()}
-            held, size = [], 0
+            tables, held, size = known.value, [], 0
             for batch in batches:
                 for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                     if lang in tables:
@@ -130,6 +134,24 @@ def encoded(documents: DataFrame, vocabulary: DataFrame, most_words: int = MOST_
     return named.repartition("row").sortWithinPartitions("row", "at").select("row", "id").mapInArrow(gather, target)
 
 
+class Phrases:
+    """Phrases in one array of ids, by number from 0."""
+
+    def __init__(self, phrases: list[tuple[int, ...]]) -> None:
+        self.ids = np.fromiter(chain.from_iterable(phrases), np.int32)
+        self.ends = np.cumsum(np.fromiter(map(len, phrases), np.int64, len(phrases)))
+
+    def __len__(self) -> int:
+        return len(self.ends)
+
+    def __getitem__(self, number: int) -> tuple[int, ...]:
+        return tuple(self.ids[self.ends[number - 1] if number else 0 : self.ends[number]].tolist())
+
+    def rows(self, numbers: np.ndarray, length: int) -> np.ndarray:
+        """One row for each of some phrases that all have ``length`` words."""
+        return self.ids[self.ends[numbers][:, None] + np.arange(-length, 0)]
+
+
 class DoubleArray:
     """A trie of phrases of word ids: the child of slot s by id w is slot ``base[s] + w`` if its ``check`` is s.
 
@@ -138,7 +160,7 @@ class DoubleArray:
     """
 
     def __init__(self, phrases: list[tuple[int, ...]], width: int) -> None:
-        self.phrases, self.width = phrases, width
+        self.phrases, self.width = Phrases(phrases), width
         nodes: dict[tuple[int, ...], int] = {}
         children: dict[int, list[int]] = {}
         for phrase in phrases:
@@ -207,8 +229,28 @@ class DoubleArray:
             yield at, state
 
 
-def _lists(phrases: list[tuple[int, ...]]) -> pa.Array:
-    return pa.array(phrases, pa.list_(pa.int32()))
+def _lists(rows: np.ndarray) -> pa.Array:
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * np.int32(rows.shape[1])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.reshape(-1).astype(np.int32)))
+
+
+def _pressed(*columns: np.ndarray) -> bytes:
+    """Whole numbers of some columns, byte by byte of equal weight: most are small."""
+    return zstandard.compress(b"".join(column.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for column in columns), 1)
+
+
+def _restored(held: bytes, columns: int) -> list[np.ndarray]:
+    planes = np.frombuffer(zstandard.decompress(held), np.uint8).reshape(columns, 8, -1)
+    return [np.ascontiguousarray(own.T).view("<i8").reshape(-1) for own in planes]
+
+
+def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the sums of their counts."""
+    both, numbers = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(both, kind="stable")
+    both = both[order]
+    first = np.flatnonzero(np.diff(both, prepend=-1))
+    return both[first], np.add.reduceat(numbers[order], first) if len(first) else numbers
 
 
 def _tries(table: DataFrame, width: int, most_phrases: int) -> Iterator[tuple[DoubleArray, bool]]:
@@ -219,21 +261,31 @@ def _tries(table: DataFrame, width: int, most_phrases: int) -> Iterator[tuple[Do
         yield DoubleArray(sorted(tuple(one) for one in some.select("phrase").toArrow()["phrase"].to_pylist()), width), parts == 1
 
 
-def _candidates(texts: DataFrame, trie: Callable | None, whole: bool, length: int, least: int) -> DataFrame:
+def _candidates(texts: DataFrame, trie: Callable | None, whole: bool, length: int, least: int, buckets: int = 8) -> DataFrame:
     """Phrases of ``length`` words that may occur ``least`` times: (phrase).
 
     The words but the last are a frequent phrase, and so are those but the first if the trie
     holds all; and the pairs of that phrase's number and the last word, summed over all tasks,
-    are at least ``least``. So what is left out is rare. Tasks add pairs up before they are shuffled.
+    are at least ``least``. So what is left out is rare. Tasks add pairs up and send those of a
+    bucket as one compressed row; a task for each bucket adds them up.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = trie.value if trie else None
-        held, size = [], 0
+        held, size, known = [], 0, (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
-        def out() -> pa.RecordBatch:
+        def add() -> tuple[np.ndarray, np.ndarray]:
             keys, counts = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["pair", "n"])
+            return _added([known[0], keys], [known[1], counts]) if len(known[0]) else (keys, counts)
+
+        def out() -> pa.RecordBatch:
+            keys, counts = known
+            # Neighbouring last words stay together, so that differences are small; no frequent word fills a bucket.
+            dealt = ((keys >> 8).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % buckets
+            order = np.argsort(dealt, kind="stable")
+            met, first = np.unique(dealt[order], return_index=True)
+            rows = [_pressed(np.diff(keys[own], prepend=0), counts[own]) for own in np.split(order, first[1:])]
+            return pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array(rows, pa.binary())], names=["bucket", "pairs"])
 
         for batch in batches:
             for one in batch.column(0):
@@ -249,26 +301,43 @@ def _candidates(texts: DataFrame, trie: Callable | None, whole: bool, length: in
                 lives = (begin > 0) & (follows > 0) & (last > 0)
                 held.append(begin[lives] << 32 | last[lives])
                 size += len(held[-1])
-            if size > POSITIONS_AT_ONCE:
-                yield out()
-                held, size = [], 0
+                if size > POSITIONS_AT_ONCE:
+                    known, held, size = add(), [], 0
+                    if 2 * len(known[0]) > POSITIONS_AT_ONCE:
+                        yield out()
+                        known = known[0][:0], known[1][:0]
         if size:
+            known = add()
+        if len(known[0]):
             yield out()
 
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = trie.value if trie else None
+        held, size, known = ([], []), 0, (np.zeros(0, np.int64), np.zeros(0, np.int64))
         for batch in batches:
-            pairs = batch.column(0).to_numpy()
-            begins, ends = (pairs >> 32).tolist(), (pairs & 0xFFFFFFFF).tolist()
-            found = [(*tree.phrases[b - 1], e) for b, e in zip(begins, ends)] if tree else list(zip(begins, ends))
-            yield pa.RecordBatch.from_arrays([_lists(found)], names=["phrase"])
-
-    pairs = texts.mapInArrow(find, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    return pairs.filter(F.col("n") >= least).select("pair").mapInArrow(spell, "phrase array<int>")
-
-
-def _occurrences(texts: DataFrame, trie: Callable, length: int) -> DataFrame:
-    """(phrase, n): how often the trie's phrases occur, counted by state in each task."""
+            for one in batch.column(1):
+                steps, counts = _restored(one.as_py(), 2)
+                held[0].append(np.cumsum(steps))
+                held[1].append(counts)
+                size += len(steps)
+                if size > POSITIONS_AT_ONCE:
+                    known, held, size = _added([known[0], *held[0]], [known[1], *held[1]]), ([], []), 0
+        pairs, counts = _added([known[0], *held[0]], [known[1], *held[1]])
+        pairs = pairs[counts >= least]
+        for at in range(0, len(pairs), NUMBERS_AT_ONCE):
+            some = pairs[at : at + NUMBERS_AT_ONCE]
+            begins = tree.phrases.rows((some >> 32) - 1, length - 1) if tree else (some >> 32)[:, None]
+            yield pa.RecordBatch.from_arrays([_lists(np.column_stack([begins, some & 0xFFFFFFFF]))], names=["phrase"])
+
+    pairs = texts.mapInArrow(find, "bucket int, pairs binary")
+    return pairs.repartitionById(buckets, F.col("bucket")).mapInArrow(add_up, "phrase array<int>")
+
+
+def _occurrences(texts: DataFrame, trie: Callable, length: int, least: int, number: int) -> DataFrame:
+    """(phrase, n) of the trie's ``number`` phrases that occur ``least`` times or more.
+
+    Each task counts by state and sends the counts of a run of phrases as one compressed row.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = trie.value
@@ -278,12 +347,25 @@ def _occurrences(texts: DataFrame, trie: Callable, length: int) -> DataFrame:
                 ids = np.frombuffer(one.as_buffer(), "<u4").astype(np.int64)
                 for _, state in tree.levels(ids, length):
                     pass
-                totals += np.bincount(state, minlength=len(totals))
-        met = np.flatnonzero((totals > 0) & (tree.accepts > 0))
-        phrases = [tree.phrases[k - 1] for k in tree.accepts[met].tolist()]
-        yield pa.RecordBatch.from_arrays([_lists(phrases), pa.array(totals[met])], names=["phrase", "n"])
+                np.add.at(totals, state, 1)
+        counts = np.zeros(number + 1, dtype=np.int64)
+        counts[tree.accepts] = totals  # each phrase ends in one state; 0 gathers all others
+        for run, at in enumerate(range(1, number + 1, NUMBERS_AT_ONCE)):
+            some = counts[at : at + NUMBERS_AT_ONCE]
+            if some.any():
+                yield pa.RecordBatch.from_arrays([pa.array([run], pa.int32()), pa.array([_pressed(some)], pa.binary())], names=["run", "counts"])
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, sums = trie.value, {}
+        for batch in batches:
+            for run, one in zip(batch.column(0).to_pylist(), batch.column(1)):
+                sums[run] = sums.get(run, 0) + _restored(one.as_py(), 1)[0]
+        for run, counts in sums.items():
+            met = np.flatnonzero(counts >= least)
+            yield pa.RecordBatch.from_arrays([_lists(tree.phrases.rows(run * NUMBERS_AT_ONCE + met, length)), pa.array(counts[met])], names=["phrase", "n"])
 
-    return texts.mapInArrow(count, "phrase array<int>, n long")
+    counted = texts.mapInArrow(count, "run int, counts binary")
+    return counted.repartitionById(-(-number // NUMBERS_AT_ONCE), F.col("run")).mapInArrow(add_up, "phrase array<int>, n long")
 
 
 def frequent_phrases(texts: DataFrame, words: int, least: int, longest: int = 5, most_phrases: int = MOST_PHRASES) -> list[DataFrame]:
@@ -293,27 +375,29 @@ def frequent_phrases(texts: DataFrame, words: int, least: int, longest: int = 5,
     others are rare, one counts them by the states of a broadcast trie.
     """
     context = texts.sparkSession.sparkContext
-    # Every counting task hands on a sum for each phrase that it met, so there are no more of them than keep the cores busy.
+    positions = texts.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
+    buckets = max(8, -(-positions // (4 * BUCKET_POSITIONS)))
+    # Every counting task hands on a sum for each phrase, so there are no more of them than keep the cores busy.
     counted = texts.coalesce(max(8, 2 * context.defaultParallelism))
     found: list[DataFrame] = []
     for length in range(2, longest + 1):
         if length == 2:
-            named = _candidates(texts, None, True, length, least)
+            named = _candidates(texts, None, True, length, least, buckets)
         else:
-            parts = [_candidates(texts, context.broadcast(trie), whole, length, least) for trie, whole in _tries(found[-1], words + 1, most_phrases)]
+            parts = [_candidates(texts, context.broadcast(trie), whole, length, least, buckets) for trie, whole in _tries(found[-1], words + 1, most_phrases)]
             if not parts:
                 break
             named = parts[0]
             for part in parts[1:]:
                 named = named.union(part)
         candidates = stored(named, "phrase-candidates")
-        counts = [_occurrences(counted, context.broadcast(trie), length) for trie, _ in _tries(candidates, words + 1, most_phrases)]
+        counts = [_occurrences(counted, context.broadcast(trie), length, least, len(trie.phrases)) for trie, _ in _tries(candidates, words + 1, most_phrases)]
         if not counts:
             break
         summed = counts[0]
         for part in counts[1:]:
             summed = summed.union(part)
-        found.append(stored(summed.groupBy("phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "phrases"))
+        found.append(stored(summed, "phrases"))
     return found
 
 
@@ -345,8 +429,10 @@ def collocations(
     Null texts have no words, a null language is ``und``, repeated rows count each time, other
     columns are ignored, an empty table gives none. Every count covers all texts. A dictionary or
     trie is broadcast up to a stated size; beyond, words are joined and phrases dealt to more tries.
+    The session hands rows to Python in batches of about ``BYTES_AT_ONCE`` from now on.
     """
     spark = documents.sparkSession
+    bounded_batches(spark, BYTES_AT_ONCE)
     texts = documents.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     counts = stored(word_counts(texts, least), "words")
     totals = counts.filter("word is null").select("lang", F.col("n").alias("total"))

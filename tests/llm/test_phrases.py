@@ -109,3 +109,28 @@ def test_candidates_leave_out_only_what_is_rare(spark, rows):
     named = {tuple(r.phrase) for r in phrases._candidates(ids, None, True, 2, 10).collect()}
     frequent = phrases.frequent_phrases(ids, vocabulary.count(), 10)
     assert {tuple(r.phrase) for r in frequent[0].collect()} <= named
+
+
+def test_pairs_travel_in_few_packed_rows_and_add_up(spark):
+    rng = np.random.default_rng(7)
+    text = " ".join(f"w{k}" for k in rng.integers(0, 300, 1000))
+    frame = spark.createDataFrame([("en", text)] * 400, "lang string, text string").coalesce(1)
+    vocabulary = phrases._numbered(phrases.word_counts(frame, 400).filter("word is not null"))
+    ids = stored(phrases.encoded(frame, vocabulary.select("lang", "word", "id")), "test-packed")
+    assert 4 * 300_000 > ids.agg(F.max(F.octet_length("ids"))).first()[0]  # a batch of rows stays small
+    words = text.split(" ")
+    wanted = {pair: 400 * n for pair, n in Counter(zip(words, words[1:])).items()}
+    spelt = {r.id: r.word for r in vocabulary.collect()}
+    named = phrases._candidates(ids, None, True, 2, 800, buckets=3)
+    assert {tuple(spelt[k] for k in r.phrase) for r in named.collect()} == {pair for pair, n in wanted.items() if n >= 800}
+    assert named.rdd.getNumPartitions() == 3
+    found = phrases.frequent_phrases(ids, len(spelt), 800, longest=2)[0]
+    assert {tuple(spelt[k] for k in r.phrase): r.n for r in found.collect()} == {pair: n for pair, n in wanted.items() if n >= 800}
+
+
+def test_packed_numbers_come_back():
+    keys, counts = np.array([3, 1 << 32, (1 << 62) + 5]), np.array([1, 1 << 40, 7])
+    back = phrases._restored(phrases._pressed(np.diff(keys, prepend=0), counts), 2)
+    assert np.cumsum(back[0]).tolist() == keys.tolist() and back[1].tolist() == counts.tolist()
+    both, sums = phrases._added([keys, keys[1:]], [counts, counts[1:]])
+    assert both.tolist() == keys.tolist() and sums.tolist() == [1, 2 << 40, 14]
