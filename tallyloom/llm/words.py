@@ -33,13 +33,14 @@ class Kept:
         now, old = self.now, self.old
         got = [list(map(now.get, keys)) for keys in lists]
         gaps = [[at for at, value in enumerate(found) if value is None] if None in found else () for found in got]
-        missing = {keys[at] for keys, places in zip(lists, gaps) for at in places}
+        missing = list(dict.fromkeys(keys[at] for keys, places in zip(lists, gaps) for at in places))
         if missing:
-            again = {key: old[key] for key in missing if key in old} if old else {}
-            new = [key for key in missing if key not in again]
+            known = list(map(old.get, missing))
+            new, made = [key for key, value in zip(missing, known) if value is None], []
             for at in range(0, len(new), MADE_AT_ONCE):
-                some = new[at : at + MADE_AT_ONCE]
-                again.update(zip(some, make(some)))
+                made += make(new[at : at + MADE_AT_ONCE])
+            fresh = iter(made)
+            again = dict(zip(missing, (next(fresh) if value is None else value for value in known)))
             now.update(again)
             self.size += sum(map(len, again)) + sum(map(weight, again.values())) + ENTRY * len(again)
             for keys, found, places in zip(lists, got, gaps):
@@ -100,8 +101,10 @@ class Words:
             at[bounds[:-1]] = [numbers[name] for name in names]
             keys += numbers
         values = self.kept.values([keys], self._make, self.weight)[0]
-        unusable = np.fromiter((value == b"" for value in values), bool, len(values))
-        odd = np.flatnonzero(np.logical_or.reduceat(unusable[at], bounds[:-1])) if unusable.any() and len(texts) else ()
+        odd = ()
+        if b"" in values and len(texts):
+            unusable = np.fromiter((value == b"" for value in values), bool, len(values))
+            odd = np.flatnonzero(np.logical_or.reduceat(unusable[at], bounds[:-1]))
         if len(odd):
             pieces = np.split(at, bounds[1:-1])
             found = self.kept.values([self.keys(texts[k].as_py()) for k in odd.tolist()], self._make, self.weight)

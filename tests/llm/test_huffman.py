@@ -187,3 +187,29 @@ def test_parts_go_to_the_library_in_short_strings(monkeypatch):
     text = " ".join(f"p{k:x}, é{k}" for k in range(4000))
     assert coder.texts(pa.array([text]))[0] == np.array(ids_of(text)[:-1], dtype=coder.kind).tobytes()
     assert max(one.count(" ") for one in asked) <= 1024
+
+
+def test_packed_parts_are_not_encoded_again(monkeypatch):
+    coder, asked = library.Library(PATH, kept_bytes=400_000), []
+    ids = coder.ids
+    monkeypatch.setattr(coder, "ids", lambda strings: asked.extend(strings) or ids(strings))
+    texts = [" ".join(f"p{k:x}, é{k}" for k in range(at, at + 200)) for at in range(0, 2000, 200)] + ["", "  a  b ", "é", " x\ty  <|endoftext|> z", "q " * 40]
+    wanted = [np.array(ids_of(text)[:-1], dtype=coder.kind).tobytes() for text in texts]
+    for _ in range(3):
+        assert [coder.texts(pa.array([text]))[0] for text in texts] == wanted
+        again, asked[:] = sum(one.count(" ") for one in asked), []
+    assert again < 100  # of 4,000 parts, more than the dictionary holds
+    assert sum(one.nbytes for generation in coder.words.kept.packed for one in generation) <= 400_000
+    assert coder.texts(pa.array(texts)) == wanted
+    monkeypatch.setattr(library, "PARTS_IN_STRING", 7)
+    coder.forget()
+    assert coder.texts(pa.array(texts)) == wanted and max(one.count(" ") for one in asked) <= 200
+
+
+def test_parts_of_equal_hash_are_encoded_again():
+    coder = library.Library(PATH)
+    text = pa.array(["one two three four two"])
+    wanted = coder.texts(text)
+    known, starts, sizes, held = coder.words.kept.packed[0]
+    coder.words.kept.packed[0] = known, starts[::-1].copy(), sizes[::-1].copy(), held  # hashes now find other parts
+    assert coder.texts(text) == wanted
