@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,20 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def kept_on_disk(frame: DataFrame) -> Iterator[DataFrame]:
+    """Keep a frame on the executors' disks while it is read more than once.
+
+    Unlike ``stored`` that writes no file for each task, so no executor starts a process to set the
+    rights of one, as Hadoop's local file system does. What a lost executor held is computed again.
+    """
+    frame.persist(StorageLevel.DISK_ONLY)
+    try:
+        yield frame
+    finally:
+        frame.unpersist()
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows that no model of this subpackage may learn from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import stored
+from tallyloom.llm.common import kept_on_disk, stored
 from tallyloom.session import bounded_batches
 
 # ASCII marks and line ends that end a piece. A tab parts words like a space.
@@ -390,8 +390,8 @@ def frequent_phrases(texts: DataFrame, words: int, least: int, longest: int = 5,
             named = parts[0]
             for part in parts[1:]:
                 named = named.union(part)
-        candidates = stored(named, "phrase-candidates")
-        counts = [_occurrences(counted, context.broadcast(trie), length, least, len(trie.phrases)) for trie, _ in _tries(candidates, words + 1, most_phrases)]
+        with kept_on_disk(named) as candidates:
+            counts = [_occurrences(counted, context.broadcast(trie), length, least, len(trie.phrases)) for trie, _ in _tries(candidates, words + 1, most_phrases)]
         if not counts:
             break
         summed = counts[0]
@@ -434,12 +434,11 @@ def collocations(
     spark = documents.sparkSession
     bounded_batches(spark, BYTES_AT_ONCE)
     texts = documents.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    counts = stored(word_counts(texts, least), "words")
-    totals = counts.filter("word is null").select("lang", F.col("n").alias("total"))
-    vocabulary = stored(_numbered(counts.filter("word is not null")), "vocabulary")
-    words = vocabulary.count()
-    ids = stored(encoded(texts, vocabulary.select("lang", "word", "id"), most_words), "word-ids")
-    phrases = frequent_phrases(ids, words, least, longest, most_phrases)
+    with kept_on_disk(word_counts(texts, least)) as counts:
+        totals = stored(counts.filter("word is null").select("lang", F.col("n").alias("total")).coalesce(1), "totals")  # one row for each language
+        vocabulary = _numbered(counts.filter("word is not null"))
+    with kept_on_disk(encoded(texts, vocabulary.select("lang", "word", "id"), most_words)) as ids:
+        phrases = frequent_phrases(ids, vocabulary.count(), least, longest, most_phrases)
     columns = "lang string, rank int, phrase string, a long, l long, r long, n long, score long"
     if not phrases:
         return spark.createDataFrame([], columns)
@@ -450,14 +449,16 @@ def collocations(
 
 
 def _numbered(words: DataFrame) -> DataFrame:
-    """(lang, word, n, id): ids from 1, frequent words first (tries stay dense), numbered range by range."""
+    """(lang, word, n, id), stored: ids from 1, frequent words first (tries stay dense), numbered range by range."""
     order = [F.desc("n"), F.asc("lang"), F.asc("word")]
-    ordered = stored(words.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()), "words-by-range")
-    sizes = ordered.groupBy("part").count()
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
-    starts = sizes.select("part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("start"))
-    own = F.row_number().over(Window.partitionBy("part").orderBy(*order))
-    return ordered.withColumn("own", own).join(F.broadcast(starts), "part").select("lang", "word", "n", (F.col("start") + F.col("own")).cast("int").alias("id"))
+    files = max(8, 2 * words.sparkSession.sparkContext.defaultParallelism)
+    with kept_on_disk(words.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())) as ordered:
+        sizes = ordered.groupBy("part").count()
+        earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+        starts = sizes.select("part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("start"))
+        own = F.row_number().over(Window.partitionBy("part").orderBy(*order))
+        numbered = ordered.withColumn("own", own).join(F.broadcast(starts), "part")
+        return stored(numbered.select("lang", "word", "n", (F.col("start") + F.col("own")).cast("int").alias("id")).coalesce(files), "vocabulary")
 
 
 def ranked(every: DataFrame, vocabulary: DataFrame, totals: DataFrame, top: int, absorbed: int) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -10,6 +11,7 @@ from twins import duck_rows, duck_types, spark_rows, spark_types
 from tallyloom.llm import phrases
 from tallyloom.llm.common import stored
 from tallyloom.llm.queries import SQL, op12_collocations
+from tallyloom.session import shared_folder
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -128,6 +130,17 @@ def test_pairs_travel_in_few_packed_rows_and_add_up(spark):
     assert {tuple(spelt[k] for k in r.phrase): r.n for r in found.collect()} == {pair: n for pair, n in wanted.items() if n >= 800}
 
 
+def test_texts_and_buckets_write_no_files(spark, rows, monkeypatch):
+    monkeypatch.setattr(phrases, "BUCKET_POSITIONS", 50)  # many buckets
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    earlier, held = set(folder.rglob("part-*")), spark.sparkContext._jsc.getPersistentRDDs().size()
+    assert got(phrases.collocations(as_frame(spark, rows), least=3)) == slow_collocations(rows, 3)
+    written = Counter(path.parent.name.rpartition("-")[0] for path in set(folder.rglob("part-*")) - earlier)
+    assert not written.keys() - {"llm-totals", "llm-vocabulary", "llm-phrases"} and written["llm-totals"] == 1
+    assert written["llm-phrases"] == 4 and written["llm-vocabulary"] <= 16
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
+
+
 def test_packed_numbers_come_back():
     keys, counts = np.array([3, 1 << 32, (1 << 62) + 5]), np.array([1, 1 << 40, 7])
     back = phrases._restored(phrases._pressed(np.diff(keys, prepend=0), counts), 2)
